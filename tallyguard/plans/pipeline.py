@@ -1,0 +1,118 @@
+"""Prepare, train and score: the three steps of the fraud job."""
+
+from __future__ import annotations
+
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tallyguard.operators.evaluation import auc, confusion, log_loss
+from tallyguard.operators.history import account_features, plant_fraud
+from tallyguard.operators.hot import Skew
+from tallyguard.operators.quality import clean_transactions
+from tallyguard.operators.rename import korean_transactions
+from tallyguard.operators.scoring import alerts, score
+from tallyguard.operators.split import class_weights, split
+from tallyguard.operators.tracking import Run, best_run, log_run, read_store
+from tallyguard.operators.training import NUMERIC, Trained, train_boosted, train_logistic
+from tallyguard.schema import KOREAN
+from tallyguard.session import materialize
+from tallyguard.sources.tables import load_transactions, write_table
+
+EXPERIMENT = "fraud"
+METRIC = "auc"
+
+
+def prepare(spark: SparkSession, folder: str, out: str, skew: Skew = Skew()) -> DataFrame:
+    """Load, clean, add features and the planted label; write the table by day.
+
+    Cleaning is written first because the hot-account count reads it as well.
+    """
+    clean = materialize(clean_transactions(load_transactions(spark, folder)), "clean")
+    featured = account_features(clean, skew=skew)
+    return write_table(plant_fraud(featured), f"{out}/prepared")
+
+
+def _assess(scored: DataFrame) -> dict[str, float]:
+    """The metrics of a run; every frame here is a single row."""
+    rows = [confusion(scored).first(), auc(scored).first(), log_loss(scored).first()]
+    merged = {k: v for row in rows for k, v in row.asDict().items() if v is not None}
+    wanted = ("auc", "precision", "recall", "f1", "log_loss", "brier")
+    return {name: merged[name] for name in wanted if name in merged}
+
+
+def train(
+    spark: SparkSession, prepared: DataFrame, out: str, boosted: dict | None = None, logistic: dict | None = None
+) -> str:
+    """Train both classifiers on the training part, measure them on the rest, log the runs.
+
+    Logistic regression sees the table under its Korean names. Returns the store's path.
+    """
+    train_rows, test_rows = split(prepared)
+    test_rows = test_rows.persist()
+    weighted = class_weights(train_rows)
+    extent = prepared.agg(F.min("ts").alias("data_from"), F.max("ts").alias("data_to")).first()
+    numeric = [KOREAN.get(name, name) for name in NUMERIC]
+
+    def boosted_run() -> tuple[Trained, DataFrame, dict]:
+        settings = {"maxIter": 20, "maxDepth": 4, **(boosted or {})}
+        fitted = train_boosted(
+            weighted, NUMERIC, category="channel", weight="class_weight", **settings
+        )
+        return fitted, score(fitted.model, test_rows), settings
+
+    def logistic_run() -> tuple[Trained, DataFrame, dict]:
+        settings = {"maxIter": 50, **(logistic or {})}
+        fitted = train_logistic(
+            korean_transactions(weighted),
+            numeric,
+            label=KOREAN["is_fraud"],
+            category=KOREAN["channel"],
+            weight="class_weight",
+            **settings,
+        )
+        scored = score(fitted.model, korean_transactions(test_rows))
+        return fitted, scored.withColumnRenamed(KOREAN["is_fraud"], "is_fraud"), settings
+
+    store = f"{out}/runs"
+    for learner, fit in (("boosted", boosted_run), ("logistic", logistic_run)):
+        started = datetime.now(timezone.utc)
+        fitted, scored, settings = fit()
+        run_id = f"{learner}-{uuid.uuid4().hex[:12]}"
+        path = f"{out}/models/{run_id}"
+        fitted.model.save(path)
+        run = Run(
+            run_id=run_id,
+            experiment=EXPERIMENT,
+            model_path=path,
+            params={"learner": learner, "names": "ko" if learner == "logistic" else "en", **settings},
+            metrics=_assess(scored),
+            data_from=extent.data_from,
+            data_to=extent.data_to,
+            started=started,
+        )
+        log_run(spark, store, run)
+    test_rows.unpersist()
+    return store
+
+
+def score_best(spark: SparkSession, prepared: DataFrame, store: str, k: int = 10) -> DataFrame:
+    """Score all transactions with the best run's model and return the alerts."""
+    tables = read_store(spark, store)
+    best = best_run(tables["runs"], tables["metrics"], METRIC).first()
+    names = tables["params"].where((F.col("run_id") == best.run_id) & (F.col("key") == "names"))
+    columns = ["txn_id", "account_id", "ts", "amount", "channel", "is_fraud", "p_fraud"]
+    if names.first().value == "ko":
+        # Keep the canonical columns beside the Korean ones that the model reads.
+        korean = {KOREAN[c]: F.col(c) for c in prepared.columns if c in KOREAN}
+        scored = score(best.model_path, prepared.withColumns(korean))
+    else:
+        scored = score(best.model_path, prepared)
+    return alerts(scored.select(columns), k).withColumn("model", F.lit(best.run_id.split("-")[0]))
+
+
+def run_pipeline(spark: SparkSession, folder: str, out: str, k: int = 10, skew: Skew = Skew()) -> DataFrame:
+    """All three steps; tables, runs and models go to ``out``, which all executors share."""
+    prepared = prepare(spark, folder, out, skew)
+    return score_best(spark, prepared, train(spark, prepared, out), k)

@@ -104,9 +104,11 @@ def _training_rows(
 
     Sums of floats depend on the order of rows, so equal fits need equal partitions.
     """
-    columns = list(dict.fromkeys([*numeric, *filter(None, [category, weight, key])]))
+    columns = list(dict.fromkeys([*numeric, *filter(None, [category, key])]))
     rows = df.select(
-        *[quoted(c) for c in columns], F.col(quoted(label)).cast("double").alias("_label")
+        *[quoted(c) for c in columns],
+        F.col(quoted(label)).cast("double").alias("_label"),
+        (F.col(quoted(weight)) if weight else F.lit(1.0)).alias("_weight"),
     ).where("_label IS NOT NULL")
     if key:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -123,10 +125,6 @@ def _fit(rows: DataFrame, stages: list) -> PipelineModel:
         rows.unpersist()
 
 
-def _weighted(params: dict, weight: str | None) -> dict:
-    return params | ({"weightCol": quoted(weight)} if weight else {})
-
-
 def train_boosted(
     df: DataFrame,
     numeric: list[str],
@@ -141,7 +139,8 @@ def train_boosted(
     learner = GBTClassifier(
         featuresCol="features",
         labelCol="_label",
-        **{"seed": 7, "checkpointInterval": 10, **_weighted(params, weight)},
+        weightCol="_weight",
+        **{"seed": 7, "checkpointInterval": 10, **params},
     )
     stages = feature_stages(numeric, category, one_hot=False, scale=False)
     rows = _training_rows(df, numeric, category, label, weight, key)
@@ -167,8 +166,9 @@ def train_logistic(
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="_label",
+        weightCol="_weight",
         standardization=False,
-        **_weighted(params, weight),
+        **params,
     )
     rows = _training_rows(df, numeric, category, label, weight, key)
     model = _fit(rows, [*feature_stages(numeric, category), learner])

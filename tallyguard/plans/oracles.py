@@ -45,8 +45,8 @@ WITH_SCORE = f"WITH {TXNS}, {PREV}, {LABELLED}, {SCORED}"
 
 _SPANS = {"1h": "1 HOUR", "1d": "1 DAY", "7d": "7 DAY"}
 _VELOCITY = ", ".join(
-    f"count(*) OVER w_{s} AS n_{s}, round(sum(amount) OVER w_{s}, 6) AS sum_{s}, "
-    f"round(avg(amount) OVER w_{s}, 6) AS avg_{s}"
+    f"count(*) OVER w_{s} AS n_{s}, round(sum(amount) OVER w_{s}, 9) AS sum_{s}, "
+    f"round(avg(amount) OVER w_{s}, 9) AS avg_{s}"
     for s in _SPANS
 )
 _VELOCITY_WINDOWS = ", ".join(
@@ -64,14 +64,14 @@ hist AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 
 _Z = "CASE WHEN hist_sd > 1e-9 THEN (amount - hist_mean) / hist_sd END"
-_HISTORY = f"""hist_n, round(hist_mean, 6) AS hist_mean, round(hist_sd, 6) AS hist_sd,
-  round({_Z}, 6) AS z_amount"""
+_HISTORY = f"""hist_n, round(hist_mean, 9) AS hist_mean, round(hist_sd, 9) AS hist_sd,
+  round({_Z}, 9) AS z_amount"""
 _CALENDAR = """CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday,
   CAST(CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS INTEGER) AS is_night"""
 
-_PREV_COLUMNS = "prev_amount, round(gap_seconds, 6) AS gap_seconds"
+_PREV_COLUMNS = "prev_amount, round(gap_seconds, 9) AS gap_seconds"
 
-_PREV_QUERY = f"{WITH_PREV} SELECT txn_id, round(prev_amount, 6) AS prev_amount, round(gap_seconds, 6) AS gap_seconds FROM prev"
+_PREV_QUERY = f"{WITH_PREV} SELECT txn_id, round(prev_amount, 9) AS prev_amount, round(gap_seconds, 9) AS gap_seconds FROM prev"
 _VELOCITY_QUERY = f"{WITH_TXNS} SELECT txn_id, {_VELOCITY} FROM txns WINDOW {_VELOCITY_WINDOWS}"
 _HISTORY_QUERY = f"{WITH_TXNS}, {HIST} SELECT txn_id, {_HISTORY}, {_CALENDAR} FROM hist"
 
@@ -141,10 +141,10 @@ kinds AS (
            sqrt((n - n * n / CAST(total AS DOUBLE)) / (total - 1)) AS stddev_samp_kind
     FROM (SELECT channel, count(*) AS n FROM filled GROUP BY channel) c,
          (SELECT count(*) AS total FROM filled) t))
-SELECT txn_id, f.channel, round(amount / s_amount, 6) AS f_amount,
-       round(prev_amount / s_prev, 6) AS f_prev_amount,
-       round(gap_seconds / s_gap, 6) AS f_gap_seconds,
-       round(device_k / s_k, 6) AS f_device_k, round(kind, 6) AS f_kind
+SELECT txn_id, f.channel, round(amount / s_amount, 9) AS f_amount,
+       round(prev_amount / s_prev, 9) AS f_prev_amount,
+       round(gap_seconds / s_gap, 9) AS f_gap_seconds,
+       round(device_k / s_k, 9) AS f_device_k, round(kind, 9) AS f_kind
 FROM filled f JOIN kinds USING (channel), spread"""
 
 _CONFUSION_COUNTS = """
@@ -155,9 +155,9 @@ _CONFUSION_COUNTS = """
   FROM scored"""
 
 _CONFUSION = f"""{WITH_SCORE}, counts AS ({_CONFUSION_COUNTS.format(0.3)})
-SELECT tp, fp, tn, fn, round({_ratio("tp", "(tp + fp)")}, 6) AS "precision",
-       round({_ratio("tp", "(tp + fn)")}, 6) AS recall,
-       round({_ratio("2 * tp", "(2 * tp + fp + fn)")}, 6) AS f1
+SELECT tp, fp, tn, fn, round({_ratio("tp", "(tp + fp)")}, 9) AS "precision",
+       round({_ratio("tp", "(tp + fn)")}, 9) AS recall,
+       round({_ratio("2 * tp", "(2 * tp + fp + fn)")}, 9) AS f1
 FROM counts"""
 
 _SWEEP = f"""{WITH_SCORE}, binned AS (
@@ -169,15 +169,15 @@ swept AS (
          CAST(sum(honest) OVER (ORDER BY bin DESC) AS BIGINT) AS fp,
          CAST(sum(fraud) OVER () AS BIGINT) AS p, CAST(sum(honest) OVER () AS BIGINT) AS n
   FROM binned)
-SELECT bin, round(bin / 50.0, 6) AS threshold, tp, fp, p - tp AS fn, n - fp AS tn,
-       round({_ratio("tp", "p")}, 6) AS tpr, round({_ratio("fp", "n")}, 6) AS fpr,
-       round({_ratio("tp", "(tp + fp)")}, 6) AS "precision"
+SELECT bin, round(bin / 50.0, 9) AS threshold, tp, fp, p - tp AS fn, n - fp AS tn,
+       round({_ratio("tp", "p")}, 9) AS tpr, round({_ratio("fp", "n")}, 9) AS fpr,
+       round({_ratio("tp", "(tp + fp)")}, 9) AS "precision"
 FROM swept"""
 
-_AUC = f"""{WITH_SCORE}, ranked AS (
-  SELECT is_fraud, rank() OVER (ORDER BY p_fraud)
-         + (count(*) OVER (PARTITION BY p_fraud) - 1) / 2.0 AS mid_rank
-  FROM scored),
+_AUC = f"""{WITH_SCORE}, coarse AS (SELECT is_fraud, round(p_fraud, 4) AS p FROM scored),
+ranked AS (
+  SELECT is_fraud, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS mid_rank
+  FROM coarse),
 totals AS (
   SELECT count(*) FILTER (is_fraud = 1) AS fraud, count(*) FILTER (is_fraud = 0) AS honest,
          CAST(sum(mid_rank) FILTER (is_fraud = 1) AS DOUBLE) AS ranks
@@ -189,14 +189,14 @@ FROM totals"""
 _LOG_LOSS = f"""{WITH_SCORE}
 SELECT count(*) AS rows,
   round(avg(-(is_fraud * ln(greatest(1e-15, least(1 - 1e-15, p_fraud)))
-    + (1 - is_fraud) * ln(1 - greatest(1e-15, least(1 - 1e-15, p_fraud))))), 6) AS log_loss,
-  round(avg((p_fraud - is_fraud) * (p_fraud - is_fraud)), 6) AS brier
+    + (1 - is_fraud) * ln(1 - greatest(1e-15, least(1 - 1e-15, p_fraud))))), 9) AS log_loss,
+  round(avg((p_fraud - is_fraud) * (p_fraud - is_fraud)), 9) AS brier
 FROM scored"""
 
 _LOGGED = " UNION ALL ".join(
     f"""SELECT 'rule-{i}' AS run_id, 'rule' AS experiment,
   TIMESTAMP '2024-02-0{i} 00:00:00' AS started, '{threshold}' AS threshold,
-  round({_ratio("tp", "(tp + fn)")}, 6) AS recall, CAST(tp + fp AS DOUBLE) AS flagged
+  round({_ratio("tp", "(tp + fn)")}, 9) AS recall, CAST(tp + fp AS DOUBLE) AS flagged
 FROM ({_CONFUSION_COUNTS.format(threshold)})"""
     for i, threshold in enumerate([0.1, 0.3, 0.5], start=1)
 )
@@ -218,7 +218,7 @@ days AS (
   FROM txns GROUP BY 1, 2)
 SELECT account_id, CAST(window_start AS TIMESTAMP) AS window_start,
        CAST(window_start AS TIMESTAMP) + INTERVAL 1 DAY AS window_end, n,
-       round(CAST(total AS DOUBLE), 6) AS total, round(CAST(total AS DOUBLE) / n, 6) AS average
+       round(CAST(total AS DOUBLE), 9) AS total, round(CAST(total AS DOUBLE) / n, 9) AS average
 FROM days, mark
 WHERE CAST(window_start AS TIMESTAMP) + INTERVAL 1 DAY <= watermark"""
 
@@ -241,7 +241,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY p DESC, txn_id) AS rn
   FROM rated WHERE p >= 0.3)
 SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(rn AS INTEGER) AS rank, txn_id, account_id, amount,
-       n_1d, round(sum_1d, 6) AS sum_1d, round(z, 6) AS z_amount, round(p, 6) AS p_fraud
+       n_1d, round(sum_1d, 9) AS sum_1d, round(z, 9) AS z_amount, round(p, 9) AS p_fraud
 FROM ranked WHERE rn <= 5"""
 
 ORACLES: dict[str, str] = {
@@ -276,7 +276,7 @@ SELECT txn_id, CASE WHEN {_hash("'split:' || CAST(txn_id AS VARCHAR)")} % 10000
     "class_weights": f"""{WITH_LABEL}, sizes AS (
   SELECT is_fraud, count(*) AS n FROM labelled GROUP BY 1)
 SELECT txn_id, is_fraud,
-       round((SELECT sum(n) FROM sizes) / ((SELECT count(*) FROM sizes) * CAST(n AS DOUBLE)), 6)
+       round((SELECT sum(n) FROM sizes) / ((SELECT count(*) FROM sizes) * CAST(n AS DOUBLE)), 9)
          AS class_weight
 FROM labelled JOIN sizes USING (is_fraud)""",
     "feature_vectors": _FEATURES,
@@ -301,15 +301,15 @@ SELECT run_id, experiment, started, model_path, purchase FROM (
     PARTITION BY experiment ORDER BY "value" DESC, started, run_id) AS rn
   FROM runs JOIN latest USING (run_id) WHERE "key" = 'purchase')
 WHERE rn = 1""",
-    "score_logistic": f"{WITH_SCORE} SELECT txn_id, is_fraud, round(p_fraud, 6) AS p_fraud FROM scored",
+    "score_logistic": f"{WITH_SCORE} SELECT txn_id, is_fraud, round(p_fraud, 9) AS p_fraud FROM scored",
     "score_stream": f"""{WITH_TXNS}
 SELECT txn_id, amount, round(1 / (1 + exp(-(-3.0 + 0.02 * amount
-  + CASE WHEN channel = 'purchase' THEN 0.5 ELSE 0.0 END))), 6) AS p_fraud FROM txns""",
+  + CASE WHEN channel = 'purchase' THEN 0.5 ELSE 0.0 END))), 9) AS p_fraud FROM txns""",
     "prev_stream": _PREV_QUERY,
     "velocity_stream": _WINDOWS,
     "alerts": f"""{WITH_SCORE}
 SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(rn AS INTEGER) AS rank, txn_id, account_id,
-       round(p_fraud, 6) AS p_fraud
+       round(p_fraud, 9) AS p_fraud
 FROM (SELECT *, row_number() OVER (PARTITION BY date_trunc('day', ts)
         ORDER BY p_fraud DESC, txn_id) AS rn FROM scored WHERE p_fraud >= 0.2)
 WHERE rn <= 10""",

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyguard.functions import quoted
 from tallyguard.session import STATE_STORE
 
+# The processor travels with the query: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LAST_SEEN = "us bigint, txn_id bigint, amount double"
 
 
@@ -25,7 +30,9 @@ class PreviousTransaction(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A key's rows may come in several unordered chunks; the source bounds the batch.
+        # Names that are no Python names, such as one with a leading underscore, get lost.
         batch = pd.concat(list(rows), ignore_index=True)
+        batch.columns = [*self._columns[:-2], "_us"]
         batch = batch.sort_values(["_us", "txn_id"], kind="stable", ignore_index=True)
         amount, micros = batch["amount"].shift(1), batch["_us"].shift(1).astype("Int64")
         fresh = pd.Series(True, index=batch.index)

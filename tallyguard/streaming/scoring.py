@@ -21,7 +21,7 @@ def read_stream(
     a backlog is worked off in steps of bounded size.
     """
     require_utc(spark)
-    limits = {} if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": "1g"}
+    limits = {} if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": str(1 << 30)}
     settings = {"pathGlobFilter": files, **limits, **options}
     return canonical(spark.readStream.schema(EVENTS).options(**settings).parquet(folder))
 

@@ -1,0 +1,28 @@
+from conftest import SMALL, rows
+from tallyguard.operators.history import account_features
+from tallyguard.operators.tracking import best_run, read_store
+from tallyguard.plans.pipeline import METRIC, run_pipeline
+from tallyguard.session import shared_folder
+
+
+def test_three_steps(spark, tmp_path):
+    out = str(tmp_path / "job")
+    found = rows(run_pipeline(spark, SMALL, out, k=3), "day", "rank")
+    assert found and all(r["p_fraud"] >= 0.5 and r["rank"] <= 3 for r in found)
+    tables = read_store(spark, f"{out}/runs")
+    assert {r.run_id.split("-")[0] for r in tables["runs"].collect()} == {"boosted", "logistic"}
+    best = best_run(tables["runs"], tables["metrics"], METRIC).first()
+    assert {r["model"] for r in found} == {best.run_id.split("-")[0]}
+    assert best[METRIC] > 0.6
+    assert spark.read.parquet(f"{out}/prepared").count() == 1000
+
+
+def test_one_exchange_and_one_sort_for_all_windows(small):
+    text = account_features(small)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and text.count("Sort ") == 1 and text.count("Window ") == 3
+
+
+def test_shared_folder_is_the_session_s(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark, "x").startswith(root or "")
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")

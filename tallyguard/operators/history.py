@@ -9,20 +9,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyguard.functions import quoted, sigmoid, unit_hash
-from tallyguard.operators.hot import Skew, cut_into_chunks, join_carry, split_hot
+from tallyguard.operators.hot import (
+    HotAccounts,
+    Skew,
+    cut_into_chunks,
+    join_carry,
+    split_hot,
+)
 
 SPANS = {"1h": 3600, "1d": 86400, "7d": 7 * 86400}
 
-# Amounts are summed as decimals: a trailing sum is a difference of two running sums, and
-# must come out the same whatever the order and the partitioning.
-MONEY = "decimal(28,8)"
+# A trailing sum is a difference of two running sums and must come out the same whatever
+# the order and the partitioning. Amounts are therefore summed as integers: whole units,
+# and the rest in millionths.
+REST = 1_000_000
 
 # Money has two places; a spread below this is rounding noise around equal amounts.
 NO_SPREAD = 1e-9
 
 
-def _by_account(*also: str) -> Window:
-    return Window.partitionBy(*also, "account_id").orderBy("_us", "txn_id")
+def _by_account() -> Window:
+    return Window.partitionBy("account_id").orderBy("_us", "txn_id")
+
+
+def _in_chunk(df: DataFrame) -> Window:
+    """Like ``_by_account``, inside one chunk, on the order that ``df`` is sorted by."""
+    time = "_instant" if "_instant" in df.columns else "_us"
+    return Window.partitionBy("account_id", "_chunk").orderBy(time, "txn_id")
+
+
+def _cut(hot: DataFrame, rows: int, skew: Skew) -> DataFrame:
+    return cut_into_chunks(hot, ["_us", "txn_id"], rows, skew)
 
 
 def _timed(df: DataFrame) -> DataFrame:
@@ -48,9 +65,9 @@ def _prev_plain(df: DataFrame) -> DataFrame:
     return _with_previous(df, F.lag("amount").over(order), F.lag("_us").over(order))
 
 
-def _prev_chunked(chunked: DataFrame) -> DataFrame:
+def _prev_chunked(work: DataFrame, base: DataFrame) -> DataFrame:
     seen = F.struct("amount", "_us")
-    last = chunked.groupBy("account_id", "_chunk").agg(
+    last = base.groupBy("account_id", "_chunk").agg(
         F.max_by(seen, F.struct("_us", "txn_id")).alias("_last")
     )
     carry = last.select(
@@ -58,7 +75,7 @@ def _prev_chunked(chunked: DataFrame) -> DataFrame:
         "_chunk",
         F.lag("_last").over(Window.partitionBy("account_id").orderBy("_chunk")).alias("_carried"),
     )
-    inside = chunked.withColumn("_inside", F.lag(seen).over(_by_account("_chunk")))
+    inside = work.withColumn("_inside", F.lag(seen).over(_in_chunk(work)))
     joined = join_carry(inside, carry).withColumn(
         "_previous", F.coalesce("_inside", "_carried")
     )
@@ -69,36 +86,40 @@ def _prev_chunked(chunked: DataFrame) -> DataFrame:
 
 def prev_features(df: DataFrame, skew: Skew = Skew()) -> DataFrame:
     """Add ``prev_amount`` and ``gap_seconds``, null on an account's first transaction."""
-    return _untimed(
-        split_hot(
-            _timed(df),
-            _prev_plain,
-            lambda hot, rows: _prev_chunked(
-                cut_into_chunks(hot, ["_us", "txn_id"], rows, skew)
-            ).drop("_chunk"),
-            skew,
-        )
-    )
 
+    def chunked(hot: DataFrame, rows: int) -> DataFrame:
+        cut = _cut(hot, rows, skew)
+        return _prev_chunked(cut, cut).drop("_chunk")
 
-# trailing spans
+    return _untimed(split_hot(_timed(df), _prev_plain, chunked, skew))
 
 
-def _money() -> Column:
-    return F.col("amount").try_cast(MONEY)
+# trailing spans
 
 
-def _named_spans(df: DataFrame, counts: dict[str, Column], sums: dict[str, Column]) -> DataFrame:
-    return df.withColumns(
-        {f"n_{s}": counts[s] for s in counts}
-        | {f"sum_{s}": F.when(counts[s] > 0, sums[s].cast("double")) for s in counts}
-        | {
-            f"avg_{s}": F.when(counts[s] > 0, sums[s].cast("double") / counts[s])
-            for s in counts
-        }
+def _in_units(df: DataFrame) -> DataFrame:
+    """Add ``_whole`` and ``_rest``, null where there is no finite amount."""
+    amount = F.col("amount")
+    finite = F.abs(amount) < float("inf")
+    return df.withColumn("_whole", F.when(finite, F.floor(amount))).withColumn(
+        "_rest", F.round((amount - F.col("_whole")) * REST).cast("bigint")
     )
 
 
+def _money(whole: Column, rest: Column) -> Column:
+    return whole.cast("double") + rest / REST
+
+
+def _named_spans(df: DataFrame, totals: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
+    """Name the totals of each span: (count, whole units, rest)."""
+    columns = {}
+    for span, (count, whole, rest) in totals.items():
+        columns[f"n_{span}"] = count
+        columns[f"sum_{span}"] = F.when(count > 0, _money(whole, rest))
+        columns[f"avg_{span}"] = F.when(count > 0, _money(whole, rest) / count)
+    return df.withColumns({name: columns[name] for name in _span_columns(totals)})
+
+
 def _velocity_plain(df: DataFrame, spans: dict[str, int]) -> DataFrame:
     """Trailing total = running total now less running total just before the span.
 
@@ -106,26 +127,24 @@ def _velocity_plain(df: DataFrame, spans: dict[str, int]) -> DataFrame:
     frame that slides at both ends is recomputed for every row.
     """
     timeline = Window.partitionBy("account_id").orderBy("_us")
-    upto_now = timeline.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    work = df.withColumn("_money", _money()).withColumns(
+    upper = {"now": Window.currentRow} | {
+        span: -(seconds * 1_000_000 + 1) for span, seconds in spans.items()
+    }
+    kinds = {"n": F.count("_whole"), "whole": F.sum("_whole"), "rest": F.sum("_rest")}
+    work = _in_units(df).withColumns(
         {
-            "_n": F.count("_money").over(upto_now),
-            "_sum": F.coalesce(F.sum("_money").over(upto_now), F.lit(0).cast(MONEY)),
-        }
-        | {
-            f"_{what}_{i}": column.over(
-                timeline.rangeBetween(Window.unboundedPreceding, -(seconds * 1_000_000 + 1))
+            f"_{what}_{name}": F.coalesce(
+                total.over(timeline.rangeBetween(Window.unboundedPreceding, bound)), F.lit(0)
             )
-            for i, seconds in enumerate(spans.values())
-            for what, column in (("n", F.count("_money")), ("sum", F.sum("_money")))
+            for name, bound in upper.items()
+            for what, total in kinds.items()
         }
     )
-    counts = {s: F.col("_n") - F.col(f"_n_{i}") for i, s in enumerate(spans)}
-    sums = {
-        s: F.col("_sum") - F.coalesce(F.col(f"_sum_{i}"), F.lit(0).cast(MONEY))
-        for i, s in enumerate(spans)
+    totals = {
+        span: tuple(F.col(f"_{what}_now") - F.col(quoted(f"_{what}_{span}")) for what in kinds)
+        for span in spans
     }
-    result = _named_spans(work, counts, sums)
+    result = _named_spans(work, totals)
     return result.select([quoted(c) for c in df.columns + _span_columns(spans)])
 
 
@@ -133,90 +152,118 @@ def _span_columns(spans: dict[str, int]) -> list[str]:
     return [f"{what}_{s}" for what in ("n", "sum", "avg") for s in spans]
 
 
-def _velocity_chunked(hot: DataFrame, rows: int, spans: dict[str, int], skew: Skew) -> DataFrame:
-    """Every row enters the running totals at its time and leaves each span when it expires.
+def _moves(hot: DataFrame, rows: int, spans: dict[str, int], skew: Skew) -> DataFrame:
+    """The comings and goings of hot accounts, cut into chunks.
 
-    A row's trailing total is the running total at the end of its instant. Instants sort
-    as (time, leaving): what expires exactly now is still inside the span.
+    Every row arrives at its time and leaves each span when it expires. ``_leaves`` is 0
+    for an arrival and the number of the span otherwise. ``_instant`` sorts by time and
+    puts arrivals first: what expires exactly now is still inside the span.
     """
-    arrivals = F.struct(
-        F.col("_us").alias("_at"),
+    nothing = F.lit(None).cast(hot.schema)
+    arrival = F.struct(
+        (F.col("_us") * 2).alias("_instant"),
         F.lit(0).alias("_leaves"),
         F.struct(*[quoted(c) for c in hot.columns]).alias("_row"),
     )
-    nothing = F.lit(None).cast(hot.schema)
     departures = [
         F.struct(
-            (F.col("_us") + seconds * 1_000_000).alias("_at"),
+            ((F.col("_us") + seconds * 1_000_000) * 2 + 1).alias("_instant"),
             F.lit(i).alias("_leaves"),
             nothing.alias("_row"),
         )
         for i, seconds in enumerate(spans.values(), start=1)
     ]
-    moves = hot.select(
-        "account_id",
-        "txn_id",
-        _money().alias("_money"),
-        F.inline(F.array(arrivals, *departures)),
-    ).withColumn("_instant", F.struct("_at", (F.col("_leaves") > 0).alias("_out")))
-    chunked = cut_into_chunks(moves, ["_instant", "txn_id"], rows * (1 + len(spans)), skew)
-
-    running = Window.partitionBy("_chunk", "account_id").orderBy("_instant")
-    one = F.when(F.col("_money").isNotNull(), 1).otherwise(0).cast("long")
-    money = F.coalesce(F.col("_money"), F.lit(0).cast(MONEY))
-    totals = {}
+    moves = _in_units(hot).select(
+        "account_id", "txn_id", "_whole", "_rest", F.inline(F.array(arrival, *departures))
+    )
+    return cut_into_chunks(moves, ["_instant", "txn_id"], rows * (1 + len(spans)), skew)
+
+
+def _totals(spans: dict[str, int]) -> dict[str, Column]:
+    """For each span (1, 2, ...) what has arrived less what has left."""
+    found = {}
     for i, _ in enumerate(spans, start=1):
-        inside, outside = F.col("_leaves") == 0, F.col("_leaves") == i
-        totals[f"_n_{i}"] = F.when(inside, one).when(outside, -one).otherwise(0)
-        totals[f"_sum_{i}"] = F.when(inside, money).when(outside, -money).otherwise(
-            F.lit(0).cast(MONEY)
-        )
+
+        def net(amount: Column) -> Column:
+            leaves = F.col("_leaves")
+            return F.sum(F.when(leaves == 0, amount).when(leaves == i, -amount))
+
+        one = F.when(F.col("_whole").isNotNull(), F.lit(1).cast("bigint"))
+        found |= {f"n_{i}": net(one), f"whole_{i}": net(F.col("_whole")), f"rest_{i}": net(F.col("_rest"))}
+    return found
+
+
+def _velocity_chunked(moves: DataFrame, spans: dict[str, int]) -> DataFrame:
+    """Arrivals with their trailing totals, still in their chunks and sorted.
+
+    A trailing total is what has arrived less what has left: before the chunk, inside it
+    up to the end of the row's instant, and in the rest of that instant when it runs on
+    into the following chunks.
+    """
+    totals = _totals(spans)
+    place = ["account_id", "_chunk", "_instant", "txn_id"]
     # Default frame: all rows up to and including those of the same instant.
-    local = chunked.withColumn(
-        "_run", F.struct(*[F.sum(c).over(running).alias(name) for name, c in totals.items()])
+    running = Window.partitionBy("account_id", "_chunk").orderBy("_instant")
+    local = (
+        moves.repartition("account_id", "_chunk")
+        .sortWithinPartitions(*place)
+        .withColumns({name: total.over(running) for name, total in totals.items()})
+        .where("_leaves = 0")
     )
-    result = join_carry(local, _instant_carry(local, list(totals))).where("_leaves = 0")
+    work = join_carry(local, _instant_carry(moves, totals))
 
     def at(name: str) -> Column:
-        rest = F.when(F.col("_instant") == F.col("_last"), F.col(f"_rest.{name}"))
-        return (
-            F.col(f"_run.{name}")
-            + F.coalesce(F.col(f"_before.{name}"), F.lit(0))
-            + F.coalesce(rest, F.lit(0))
+        rest = F.when(F.col("_instant") == F.col("_last"), F.col(f"_following.{name}"))
+        inside, before, after = (
+            F.coalesce(part, F.lit(0)) for part in (F.col(name), F.col(f"_before.{name}"), rest)
         )
+        return inside + before + after
 
-    counts = {s: at(f"_n_{i}") for i, s in enumerate(spans, start=1)}
-    sums = {s: at(f"_sum_{i}") for i, s in enumerate(spans, start=1)}
-    return _named_spans(result, counts, sums).select("_row.*", *_span_columns(spans))
+    named = {
+        span: tuple(at(f"{what}_{i}") for what in ("n", "whole", "rest"))
+        for i, span in enumerate(spans, start=1)
+    }
+    return _named_spans(work, named).select(
+        "_chunk", "_instant", "_row.*", *map(quoted, _span_columns(spans))
+    )
 
 
-def _instant_carry(local: DataFrame, totals: list[str]) -> DataFrame:
+def _instant_carry(moves: DataFrame, totals: dict[str, Column]) -> DataFrame:
     """Per account and chunk: the totals ``_before`` it, its ``_last`` instant, and the
-    ``_rest`` of that instant's rows when they run on into the following chunks."""
-    edges = local.groupBy("account_id", "_chunk").agg(
-        F.min("_instant").alias("_first"),
-        F.max("_instant").alias("_last"),
-        F.min_by("_run", "_instant").alias("_opening"),
-        F.max_by("_run", "_instant").alias("_total"),
+    totals of that instant's rows in the ``_following`` chunks, when it runs on into them."""
+    place = ["account_id", "_chunk"]
+    named = [total.alias(name) for name, total in totals.items()]
+    edges = moves.groupBy(*place).agg(
+        F.min("_instant").alias("_first"), F.max("_instant").alias("_last"), *named
+    )
+    # What happens at the first instant of each chunk.
+    first = edges.select(*place, "_first")
+    opening = (
+        join_carry(moves, first)
+        .where(F.col("_instant") == F.col("_first"))
+        .groupBy(*place)
+        .agg(F.struct(*named).alias("_opening"))
     )
     account = Window.partitionBy("account_id").orderBy("_chunk")
     earlier = account.rowsBetween(Window.unboundedPreceding, -1)
     same_instant = Window.partitionBy("account_id", "_first").orderBy(F.desc("_chunk"))
 
-    def summed(column: str, window: Window) -> Column:
-        return F.struct(*[F.sum(f"{column}.{name}").over(window).alias(name) for name in totals])
+    def summed(prefix: str, window: Window) -> Column:
+        return F.struct(*[F.sum(f"{prefix}{name}").over(window).alias(name) for name in totals])
 
     following = F.lead(F.struct("_first", "_run_on")).over(account)
     return (
-        edges.withColumn("_before", summed("_total", earlier))
-        .withColumn("_run_on", summed("_opening", same_instant))
+        join_carry(edges, opening)
+        .withColumn("_before", summed("", earlier))
+        .withColumn("_run_on", summed("_opening.", same_instant))
         .withColumn("_next", following)
         .select(
-            "account_id",
-            "_chunk",
+            *place,
             "_before",
             "_last",
-            F.when(F.col("_next._first") == F.col("_last"), F.col("_next._run_on")).alias("_rest"),
+            F.when(F.col("_next._first") == F.col("_last"), F.col("_next._run_on")).alias(
+                "_following"
+            ),
         )
     )
 
@@ -230,13 +277,13 @@ def velocity_features(
     and all transactions of the same instant included. ``spans`` maps names to seconds.
     """
     spans = spans or SPANS
+
+    def chunked(hot: DataFrame, rows: int) -> DataFrame:
+        moves = _moves(hot, rows, spans, skew)
+        return _velocity_chunked(moves, spans).drop("_chunk", "_instant")
+
     return _untimed(
-        split_hot(
-            _timed(df),
-            lambda part: _velocity_plain(part, spans),
-            lambda hot, rows: _velocity_chunked(hot, rows, spans, skew),
-            skew,
-        )
+        split_hot(_timed(df), lambda part: _velocity_plain(part, spans), chunked, skew)
     )
 
 
@@ -272,14 +319,14 @@ def _history_plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _history_chunked(chunked: DataFrame) -> DataFrame:
+def _history_chunked(work: DataFrame, base: DataFrame) -> DataFrame:
     """Merge the moments before the chunk with those inside it.
 
     The carried sums are taken about the account's mean so that no digits cancel.
     """
     account = Window.partitionBy("account_id")
     before = account.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    moments = chunked.groupBy("account_id", "_chunk").agg(
+    moments = base.groupBy("account_id", "_chunk").agg(
         F.count("amount").alias("n"),
         F.avg("amount").alias("mean"),
         F.var_pop("amount").alias("var"),
@@ -305,8 +352,8 @@ def _history_chunked(chunked: DataFrame) -> DataFrame:
             (F.col("squares") - F.col("shift") * F.col("_off0")).alias("_m20"),
         )
     )
-    earlier = _by_account("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    inside = chunked.withColumns(
+    earlier = _in_chunk(work).rowsBetween(Window.unboundedPreceding, -1)
+    inside = work.withColumns(
         {
             "_n1": F.count("amount").over(earlier),
             "_mean1": F.avg("amount").over(earlier),
@@ -322,7 +369,7 @@ def _history_chunked(chunked: DataFrame) -> DataFrame:
     mean = F.when(n > 0, mean0 + gap * n1 / n)
     m2 = F.coalesce("_m20", zero) + F.coalesce("_m21", zero) + gap * gap * n0 * n1 / n
     spread = F.when(n > 1, F.sqrt(F.greatest(m2, zero) / (n - 1)))
-    columns = chunked.columns + ["hist_n", "hist_mean", "hist_sd", "z_amount"]
+    columns = work.columns + ["hist_n", "hist_mean", "hist_sd", "z_amount"]
     return _with_score(joined, n, mean, spread).select([quoted(c) for c in columns])
 
 
@@ -331,14 +378,12 @@ def history_features(df: DataFrame, skew: Skew = Skew()) -> DataFrame:
 
     ``hist_n``, ``hist_mean``, ``hist_sd`` and ``z_amount`` see earlier transactions only.
     """
-    scored = split_hot(
-        _timed(df),
-        _history_plain,
-        lambda hot, rows: _history_chunked(
-            cut_into_chunks(hot, ["_us", "txn_id"], rows, skew)
-        ).drop("_chunk"),
-        skew,
-    )
+
+    def chunked(hot: DataFrame, rows: int) -> DataFrame:
+        cut = _cut(hot, rows, skew)
+        return _history_chunked(cut, cut).drop("_chunk")
+
+    scored = split_hot(_timed(df), _history_plain, chunked, skew)
     return calendar_features(_untimed(scored))
 
 
@@ -346,21 +391,26 @@ def history_features(df: DataFrame, skew: Skew = Skew()) -> DataFrame:
 
 
 def account_features(
-    df: DataFrame, spans: dict[str, int] | None = None, skew: Skew = Skew()
+    df: DataFrame,
+    spans: dict[str, int] | None = None,
+    skew: Skew = Skew(),
+    hot: HotAccounts | None = None,
 ) -> DataFrame:
-    """Previous, trailing and history features at once: one count of the accounts, and
-    one exchange and one sort for all windows of ordinary accounts."""
+    """Previous, trailing and history features at once: one count of the accounts, one
+    exchange and one sort for all windows of ordinary accounts, and likewise for the
+    chunks of hot ones."""
     spans = spans or SPANS
 
     def plain(part: DataFrame) -> DataFrame:
         return _history_plain(_velocity_plain(_prev_plain(part), spans))
 
     def chunked(hot: DataFrame, rows: int) -> DataFrame:
-        cut = cut_into_chunks(hot, ["_us", "txn_id"], rows, skew)
-        ordered = _history_chunked(_prev_chunked(cut)).drop("_chunk")
-        return _velocity_chunked(ordered, rows, spans, skew)
+        moves = _moves(hot, rows, spans, skew)
+        base = moves.where("_leaves = 0").select("_chunk", "_row.*")
+        work = _prev_chunked(_velocity_chunked(moves, spans), base)
+        return _history_chunked(work, base).drop("_chunk", "_instant")
 
-    return calendar_features(_untimed(split_hot(_timed(df), plain, chunked, skew)))
+    return calendar_features(_untimed(split_hot(_timed(df), plain, chunked, skew, hot)))
 
 
 def plant_fraud(

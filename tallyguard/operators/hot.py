@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyguard.session import shared_folder
 
 MAX_HOT = 1_000
-MAX_CHUNKS = 10_000
+MAX_CHUNKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class Skew:
     """When an account counts as hot, and how many rows a chunk of it should hold."""
 
     hot_rows: int = 1_000_000
-    chunk_rows: int = 1_000_000
+    chunk_rows: int = 250_000
 
 
 @dataclass(frozen=True)
@@ -40,9 +40,10 @@ class HotAccounts:
 
     def here(self) -> Column:
         """True for rows of hot accounts, never null."""
-        account = F.col("account_id")
-        named = account.isNotNull() & account.isin([k for k in self.keys if k is not None])
-        return named | account.isNull() if None in self.keys else named
+        named = ", ".join(str(int(key)) for key in self.keys if key is not None)
+        tests = [f"account_id IS NOT NULL AND account_id IN ({named})"] if named else []
+        tests += ["account_id IS NULL"] if None in self.keys else []
+        return F.expr(" OR ".join(tests))
 
 
 def hot_accounts(df: DataFrame, skew: Skew) -> HotAccounts:
@@ -68,9 +69,14 @@ def split_hot(
     plain: Callable[[DataFrame], DataFrame],
     chunked: Callable[[DataFrame, int], DataFrame],
     skew: Skew,
+    hot: HotAccounts | None = None,
 ) -> DataFrame:
-    """``plain`` on ordinary accounts and ``chunked(rows of hot accounts, their number)``."""
-    hot = hot_accounts(df, skew)
+    """``plain`` on ordinary accounts and ``chunked(rows of hot accounts, their number)``.
+
+    ``hot`` saves the count when the accounts have been counted already, for instance in
+    the table that ``df`` was cleaned from: an account too many there does no harm.
+    """
+    hot = hot or hot_accounts(df, skew)
     if not hot.keys:
         return plain(df)
     return plain(df.where(~hot.here())).unionByName(chunked(df.where(hot.here()), hot.rows))

@@ -45,29 +45,36 @@ def _text(column: Column, kind: T.DataType) -> Column:
 def quality_report(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: rows, nulls, distinct values, smallest and largest value as text.
 
-    One aggregation answers for all columns. Exact distinct counts shuffle every distinct
-    value once per column; ``exact=False`` takes the sketch instead, which moves only a few
-    kilobytes per task whatever the size of the table.
+    Sketches (``exact=False``) are part of the one aggregation that answers for all
+    columns, and move a few kilobytes per task whatever the size of the table. Exact
+    distinct counts shuffle every distinct value, and run apart from the extremes: text
+    has no fixed width, and with its extremes in the same aggregation Spark would sort
+    all values instead of hashing them.
     """
-    count = F.count_distinct if exact else F.approx_count_distinct
-    measures = [F.count(F.lit(1)).alias("rows")]
-    lines = []
+    rows = F.count(F.lit(1)).alias("rows")
+    measures, lines, counts, count_lines = [rows], [], [], []
     for i, field in enumerate(df.schema):
-        column = F.col(quoted(field.name))
+        column, name = F.col(quoted(field.name)), F.lit(field.name).alias("column")
         measures += [
             F.count(column).alias(f"filled_{i}"),
-            count(column).alias(f"distinct_{i}"),
             F.min(column).alias(f"min_{i}"),
             F.max(column).alias(f"max_{i}"),
         ]
-        lines.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.col("rows"),
-                (F.col("rows") - F.col(f"filled_{i}")).alias("nulls"),
-                F.col(f"distinct_{i}").alias("distinct" if exact else "approx_distinct"),
-                _text(F.col(f"min_{i}"), field.dataType).alias("min"),
-                _text(F.col(f"max_{i}"), field.dataType).alias("max"),
-            )
-        )
-    return df.agg(*measures).select(F.inline(F.array(*lines)))
+        line = [
+            name,
+            F.col("rows"),
+            (F.col("rows") - F.col(f"filled_{i}")).alias("nulls"),
+            _text(F.col(f"min_{i}"), field.dataType).alias("min"),
+            _text(F.col(f"max_{i}"), field.dataType).alias("max"),
+        ]
+        if exact:
+            counts.append(F.count_distinct(column).alias(f"distinct_{i}"))
+            count_lines.append(F.struct(name, F.col(f"distinct_{i}").alias("distinct")))
+        else:
+            measures.append(F.approx_count_distinct(column).alias(f"approx_{i}"))
+            line.append(F.col(f"approx_{i}").alias("approx_distinct"))
+        lines.append(F.struct(*line))
+    report = df.agg(*measures).select(F.inline(F.array(*lines)))
+    if not exact:
+        return report
+    return report.join(df.agg(*counts).select(F.inline(F.array(*count_lines))), "column")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyguard.functions import quoted
 from tallyguard.operators import evaluation, history, quality, rename, scoring, tracking, training
-from tallyguard.operators.hot import Skew
+from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.split import class_weights, split, with_part
 from tallyguard.plans import pipeline
 from tallyguard.session import materialize, shared_folder
@@ -55,8 +55,9 @@ def scored_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def suspicious_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Which transactions should be looked at today? The flagship query."""
-    clean = quality.clean_transactions(load_transactions(spark, folder))
-    featured = history.account_features(clean)
+    raw = load_transactions(spark, folder)
+    clean = quality.clean_transactions(raw)
+    featured = history.account_features(clean, hot=hot_accounts(raw, Skew()))
     rule = {"amount": 0.02, "prev_amount": 0.004, "sum_1d": 0.001, "n_1d": 0.05, "z_amount": 0.3}
     top = scoring.alerts(scoring.score_logistic(featured, rule, -4.0), k=5, threshold=0.3)
     return _rounded(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyguard.operators.evaluation import auc, confusion, log_loss
 from tallyguard.operators.history import account_features, plant_fraud
-from tallyguard.operators.hot import Skew
+from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.quality import clean_transactions
 from tallyguard.operators.rename import korean_transactions
 from tallyguard.operators.scoring import alerts, score
@@ -27,10 +27,15 @@ METRIC = "auc"
 def prepare(spark: SparkSession, folder: str, out: str, skew: Skew = Skew()) -> DataFrame:
     """Load, clean, add features and the planted label; write the table by day.
 
-    Cleaning is written first because the hot-account count reads it as well.
+    Accounts are counted in the raw table, which reads one column of it. Only when some
+    are hot, and several branches read the clean rows, are these written first.
     """
-    clean = materialize(clean_transactions(load_transactions(spark, folder)), "clean")
-    featured = account_features(clean, skew=skew)
+    raw = load_transactions(spark, folder)
+    hot = hot_accounts(raw, skew)
+    clean = clean_transactions(raw)
+    if hot.keys:
+        clean = materialize(clean, "clean")
+    featured = account_features(clean, skew=skew, hot=hot)
     return write_table(plant_fraud(featured), f"{out}/prepared")
 
 

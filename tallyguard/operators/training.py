@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
@@ -18,7 +17,10 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, functions as F
 
 from tallyguard.functions import quoted
-from tallyguard.session import ensure_checkpoint_dir
+from tallyguard.session import ensure_checkpoint_dir, materialize
+
+# The index of categories is built on the driver, so there may not be many of them.
+MAX_KINDS = 1000
 
 NUMERIC = [
     "amount",
@@ -98,11 +100,17 @@ def _stage(model: PipelineModel, name: str):
 
 
 def _training_rows(
-    df: DataFrame, numeric: list[str], category: str | None, label: str, weight: str | None, key: str | None
+    df: DataFrame,
+    numeric: list[str],
+    category: str | None,
+    label: str,
+    weight: str | None,
+    key: str | None,
 ) -> DataFrame:
     """Only the columns the fit needs; with ``key``, in an order that never changes.
 
-    Sums of floats depend on the order of rows, so equal fits need equal partitions.
+    Sums of floats depend on the order of rows, so equal fits need equal partitions. The
+    ordered rows are written, for the stages and the learner read them several times.
     """
     columns = list(dict.fromkeys([*numeric, *filter(None, [category, key])]))
     rows = df.select(
@@ -113,18 +121,14 @@ def _training_rows(
     if key:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartition(parts, quoted(key)).sortWithinPartitions(quoted(key))
+        rows = materialize(rows, "training")
+    if category:
+        kinds = rows.agg(F.approx_count_distinct(quoted(category))).first()[0]
+        if kinds > MAX_KINDS:
+            raise ValueError(f"{category!r} has about {kinds} values, more than {MAX_KINDS}")
     return rows
 
 
-def _fit(rows: DataFrame, stages: list) -> PipelineModel:
-    """Every stage reads the rows again, the learner many times: keep them, on disk if big."""
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=stages).fit(rows)
-    finally:
-        rows.unpersist()
-
-
 def train_boosted(
     df: DataFrame,
     numeric: list[str],
@@ -134,7 +138,11 @@ def train_boosted(
     key: str | None = None,
     **params,
 ) -> Trained:
-    """Fit gradient-boosted trees. ``params`` are those of ``GBTClassifier``."""
+    """Fit gradient-boosted trees. ``params`` are those of ``GBTClassifier``.
+
+    ``df`` should be a written table, not a long computation: every stage reads it again.
+    The learner keeps its own compact copy of the features, spilling to disk.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     learner = GBTClassifier(
         featuresCol="features",
@@ -144,7 +152,7 @@ def train_boosted(
     )
     stages = feature_stages(numeric, category, one_hot=False, scale=False)
     rows = _training_rows(df, numeric, category, label, weight, key)
-    model = _fit(rows, [*stages, learner])
+    model = Pipeline(stages=[*stages, learner]).fit(rows)
     names = [*numeric, *([category] if category else [])]
     shares = model.stages[-1].featureImportances.toArray()
     return Trained(model, importances={n: float(v) for n, v in zip(names, shares)})
@@ -161,7 +169,8 @@ def train_logistic(
 ) -> Trained:
     """Fit logistic regression, on columns of any name.
 
-    ``params`` are those of ``LogisticRegression``.
+    ``params`` are those of ``LogisticRegression``. As for trees, ``df`` should be a
+    written table.
     """
     learner = LogisticRegression(
         featuresCol="features",
@@ -171,7 +180,7 @@ def train_logistic(
         **params,
     )
     rows = _training_rows(df, numeric, category, label, weight, key)
-    model = _fit(rows, [*feature_stages(numeric, category), learner])
+    model = Pipeline(stages=[*feature_stages(numeric, category), learner]).fit(rows)
     fitted, scaler = model.stages[-1], _stage(model, "StandardScalerModel")
     names = list(numeric)
     if category:

@@ -18,10 +18,11 @@ from tallyguard.functions import quoted
 from tallyguard.operators import evaluation, history, quality, rename, scoring, tracking, training
 from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.split import class_weights, split, with_part
-from tallyguard.plans import pipeline
+from tallyguard.plans.job import run_pipeline
 from tallyguard.session import materialize, shared_folder
 from tallyguard.sources import load_transactions, parse_props, synth_columns, write_table
 from tallyguard.streaming import (
+    KEYED_BATCH,
     prev_stream,
     read_stream,
     run_to_parquet,
@@ -251,7 +252,7 @@ def streamed_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def streamed_previous(spark: SparkSession, folder: str) -> DataFrame:
-    stream = prev_stream(read_stream(spark, folder, "events.parquet"))
+    stream = prev_stream(read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH))
     return _round_floats(_drain(stream, spark, "prev").select("txn_id", "prev_amount", "gap_seconds"))
 
 
@@ -261,7 +262,7 @@ def streamed_velocity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prepare_train_score(spark: SparkSession, folder: str) -> DataFrame:
-    top = pipeline.run_pipeline(spark, folder, shared_folder(spark, "fraud-job"), k=5)
+    top = run_pipeline(spark, folder, shared_folder(spark, "fraud-job"), k=5)
     return top.withColumn("day", F.col("day").cast("string"))
 
 

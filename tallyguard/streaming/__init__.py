@@ -1,6 +1,13 @@
 """The online path: the same transactions, features and scores on streams."""
 
-from tallyguard.streaming.features import prev_stream, velocity_stream
+from tallyguard.streaming.features import KEYED_BATCH, prev_stream, velocity_stream
 from tallyguard.streaming.scoring import read_stream, run_to_parquet, score_stream
 
-__all__ = ["prev_stream", "read_stream", "run_to_parquet", "score_stream", "velocity_stream"]
+__all__ = [
+    "KEYED_BATCH",
+    "prev_stream",
+    "read_stream",
+    "run_to_parquet",
+    "score_stream",
+    "velocity_stream",
+]

@@ -16,6 +16,10 @@ from tallyguard.session import STATE_STORE
 # The processor travels with the query: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Bytes of files that a micro-batch may take when the rows of one account have to fit in
+# the memory of one Python worker, even if all of them belong to it.
+KEYED_BATCH = 256 << 20
+
 LAST_SEEN = "us bigint, txn_id bigint, amount double"
 
 
@@ -62,7 +66,7 @@ def prev_stream(df: DataFrame) -> DataFrame:
     State is one row per account, on executor disk. Rows must arrive in time order from
     one micro-batch to the next, inside a batch any order will do. A row that arrives
     after a later one of its account gets nulls. An account's rows of one batch meet in
-    one Python worker, so the source must bound its batches, as ``read_stream`` does.
+    one Python worker: bound the batches with ``read_stream(..., batch_bytes=KEYED_BATCH)``.
     """
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     schema = T.StructType(

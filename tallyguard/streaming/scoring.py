@@ -13,15 +13,19 @@ from tallyguard.sources.tables import canonical
 
 
 def read_stream(
-    spark: SparkSession, folder: str, files: str = "*.parquet", **options: str
+    spark: SparkSession,
+    folder: str,
+    files: str = "*.parquet",
+    batch_bytes: int = 16 << 30,
+    **options: str,
 ) -> DataFrame:
     """Event files of ``folder`` as a stream of transactions.
 
-    A micro-batch takes at most a gigabyte of files unless ``options`` says otherwise, so
-    a backlog is worked off in steps of bounded size.
+    A micro-batch takes at most ``batch_bytes`` of files, so a backlog is worked off in
+    steps of bounded size. ``maxFilesPerTrigger`` among the options takes its place.
     """
     require_utc(spark)
-    limits = {} if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": str(1 << 30)}
+    limits = {} if "maxFilesPerTrigger" in options else {"maxBytesPerTrigger": str(batch_bytes)}
     settings = {"pathGlobFilter": files, **limits, **options}
     return canonical(spark.readStream.schema(EVENTS).options(**settings).parquet(folder))
 

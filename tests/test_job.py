@@ -1,7 +1,8 @@
-from conftest import SMALL, rows
+from conftest import SMALL, assert_close, rows
 from tallyguard.operators.history import account_features
+from tallyguard.operators.hot import Skew
 from tallyguard.operators.tracking import best_run, read_store
-from tallyguard.plans.pipeline import METRIC, run_pipeline
+from tallyguard.plans.job import METRIC, prepare, run_pipeline
 from tallyguard.session import shared_folder
 
 
@@ -17,6 +18,12 @@ def test_three_steps(spark, tmp_path):
     assert spark.read.parquet(f"{out}/prepared").count() == 1000
 
 
+def test_hot_accounts_do_not_change_the_table(spark, tmp_path):
+    plain = prepare(spark, SMALL, str(tmp_path / "plain"))
+    forced = prepare(spark, SMALL, str(tmp_path / "hot"), Skew(hot_rows=60, chunk_rows=200))
+    assert_close(rows(plain), rows(forced))
+
+
 def test_one_exchange_and_one_sort_for_all_windows(small):
     text = account_features(small)._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange") == 1 and text.count("Sort ") == 1 and text.count("Window ") == 3

@@ -160,3 +160,9 @@ def test_alerts_shuffle_only_the_best(small):
     scored = score_logistic(small, {"amount": 0.02}, -3.0)
     text = alerts(scored, 3)._jdf.queryExecution().executedPlan().toString()
     assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+
+
+def test_too_many_categories_are_refused(parts):
+    many = parts[0].withColumn("channel", F.col("txn_id").cast("string"))
+    with pytest.raises(ValueError, match="more than 1000"):
+        train_logistic(many, FEW, category="channel")

@@ -64,8 +64,8 @@ hist AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 
 _Z = "CASE WHEN hist_sd > 1e-9 THEN (amount - hist_mean) / hist_sd END"
-_HISTORY = f"""hist_n, round(hist_mean, 9) AS hist_mean, round(hist_sd, 9) AS hist_sd,
-  round({_Z}, 9) AS z_amount"""
+_HISTORY = f"""hist_n, round(hist_mean, 9) AS hist_mean, round(hist_sd, 6) AS hist_sd,
+  round({_Z}, 6) AS z_amount"""
 _CALENDAR = """CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS weekday,
   CAST(CASE WHEN hour(ts) < 6 THEN 1 ELSE 0 END AS INTEGER) AS is_night"""
 
@@ -141,10 +141,10 @@ kinds AS (
            sqrt((n - n * n / CAST(total AS DOUBLE)) / (total - 1)) AS stddev_samp_kind
     FROM (SELECT channel, count(*) AS n FROM filled GROUP BY channel) c,
          (SELECT count(*) AS total FROM filled) t))
-SELECT txn_id, f.channel, round(amount / s_amount, 9) AS f_amount,
-       round(prev_amount / s_prev, 9) AS f_prev_amount,
-       round(gap_seconds / s_gap, 9) AS f_gap_seconds,
-       round(device_k / s_k, 9) AS f_device_k, round(kind, 9) AS f_kind
+SELECT txn_id, f.channel, round(amount / s_amount, 6) AS f_amount,
+       round(prev_amount / s_prev, 6) AS f_prev_amount,
+       round(gap_seconds / s_gap, 6) AS f_gap_seconds,
+       round(device_k / s_k, 6) AS f_device_k, round(kind, 6) AS f_kind
 FROM filled f JOIN kinds USING (channel), spread"""
 
 _CONFUSION_COUNTS = """
@@ -241,7 +241,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY date_trunc('day', ts) ORDER BY p DESC, txn_id) AS rn
   FROM rated WHERE p >= 0.3)
 SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(rn AS INTEGER) AS rank, txn_id, account_id, amount,
-       n_1d, round(sum_1d, 9) AS sum_1d, round(z, 9) AS z_amount, round(p, 9) AS p_fraud
+       n_1d, round(sum_1d, 9) AS sum_1d, round(z, 6) AS z_amount, round(p, 9) AS p_fraud
 FROM ranked WHERE rn <= 5"""
 
 ORACLES: dict[str, str] = {

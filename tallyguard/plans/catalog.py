@@ -18,7 +18,7 @@ from tallyguard.functions import quoted
 from tallyguard.operators import evaluation, history, quality, rename, scoring, tracking, training
 from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.split import class_weights, split, with_part
-from tallyguard.plans.job import run_pipeline
+from tallyguard.plans.job import prepare, run_pipeline
 from tallyguard.session import materialize, shared_folder
 from tallyguard.sources import load_transactions, parse_props, synth_columns, write_table
 from tallyguard.streaming import (
@@ -265,6 +265,13 @@ def streamed_velocity(spark: SparkSession, folder: str) -> DataFrame:
     return _round_floats(_drain(stream, spark, "velocity"))
 
 
+def prepared_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The first step of the job: cleaned, with features and label, written by day."""
+    table = prepare(spark, folder, shared_folder(spark, "prepared"))
+    columns = ["txn_id", "is_fraud", *PREVIOUS, *VELOCITY, *HISTORY, *CALENDAR]
+    return _round_floats(table.select(F.col("day").cast("string").alias("day"), *columns))
+
+
 def prepare_train_score(spark: SparkSession, folder: str) -> DataFrame:
     top = run_pipeline(spark, folder, shared_folder(spark, "fraud-job"), k=5)
     return top.withColumn("day", F.col("day").cast("string"))
@@ -334,5 +341,6 @@ QUERIES: dict[str, Query] = {
             F.col("day").cast("string").alias("day"), "rank", "txn_id", "account_id", "p_fraud"
         )
     ),
+    "prepare": prepared_table,
     "prepare_train_score": prepare_train_score,
 }

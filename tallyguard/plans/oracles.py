@@ -244,6 +244,14 @@ SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(rn AS INTEGER) AS rank, txn_id, acc
        n_1d, round(sum_1d, 9) AS sum_1d, round(z, 6) AS z_amount, round(p, 9) AS p_fraud
 FROM ranked WHERE rn <= 5"""
 
+_PREPARED = f"""{WITH_TXNS}, good AS ({_CLEAN.format(source="txns")}),
+{PREV.replace("FROM txns", "FROM good")}, {LABELLED},
+{HIST.replace("FROM txns", "FROM labelled")},
+moving AS (SELECT *, {_VELOCITY} FROM hist WINDOW {_VELOCITY_WINDOWS})
+SELECT strftime(ts, '%Y-%m-%d') AS day, txn_id, is_fraud, {_PREV_COLUMNS}, {_VELOCITY_NAMES},
+       {_HISTORY}, {_CALENDAR}
+FROM moving"""
+
 ORACLES: dict[str, str] = {
     "suspicious_transactions": _SUSPICIOUS,
     "load_transactions": f"{WITH_TXNS} SELECT * FROM txns",
@@ -307,6 +315,7 @@ SELECT txn_id, amount, round(1 / (1 + exp(-(-3.0 + 0.02 * amount
   + CASE WHEN channel = 'purchase' THEN 0.5 ELSE 0.0 END))), 9) AS p_fraud FROM txns""",
     "prev_stream": _PREV_QUERY,
     "velocity_stream": _WINDOWS,
+    "prepare": _PREPARED,
     "alerts": f"""{WITH_SCORE}
 SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(rn AS INTEGER) AS rank, txn_id, account_id,
        round(p_fraud, 9) AS p_fraud

@@ -118,7 +118,7 @@ def deduplicated_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def parsed_props(spark: SparkSession, folder: str) -> DataFrame:
     events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "props")
-    fields = {"k": ("$.k", "int"), "k_text": ("$.k", "string"), "absent": ("$.absent", "int")}
+    fields = {"k": ("$.k", "int"), "k_text": ("$.k", "string")}
     return parse_props(events, fields).drop("props")
 
 

@@ -268,8 +268,7 @@ SELECT txn_id AS "거래번호", account_id AS "계좌번호", ts AS "거래일
     "clean_transactions": f"{WITH_TXNS} {_CLEAN.format(source='txns')}",
     "clean_repeated_keys": f"{_LINES} {_CLEAN.format(source='lines')}",
     "parse_props": """SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-       json_extract_string(props, '$.k') AS k_text,
-       TRY_CAST(json_extract_string(props, '$.absent') AS INTEGER) AS absent FROM events""",
+       json_extract_string(props, '$.k') AS k_text FROM events""",
     "prev_features": _PREV_QUERY,
     "prev_features_hot": _PREV_QUERY,
     "velocity_features": _VELOCITY_QUERY,

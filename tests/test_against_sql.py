@@ -21,7 +21,7 @@ def duck():
 
 
 def _value(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+    if pd.isna(value):
         return None
     if isinstance(value, pd.Timestamp):
         return str(value)

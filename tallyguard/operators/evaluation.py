@@ -106,17 +106,12 @@ def auc(scored: DataFrame) -> DataFrame:
     inside = (
         bucketed.withColumn("pairs", _wide(F.col("fraud")) * _narrow(honest_below))
         .groupBy("bucket")
-        .agg(F.sum("pairs").alias("pairs"), F.sum("fraud").alias("fraud"), F.sum("honest").alias("honest"))
+        .agg(*[F.sum(name).alias(name) for name in ("pairs", "fraud", "honest")])
     )
     earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = 2 * F.coalesce(F.sum("honest").over(earlier), F.lit(0))
     across = inside.withColumn("across", _wide(F.col("fraud")) * _narrow(carried))
-    total = across.agg(
-        F.sum("pairs").alias("pairs"),
-        F.sum("across").alias("across"),
-        F.sum("fraud").alias("fraud"),
-        F.sum("honest").alias("honest"),
-    )
+    total = across.agg(*[F.sum(n).alias(n) for n in ("pairs", "across", "fraud", "honest")])
     in_order = F.col("pairs").cast("double") + F.col("across").cast("double")
     all_pairs = 2.0 * F.col("fraud") * F.col("honest")
     return total.select(

@@ -189,7 +189,8 @@ def _totals(spans: dict[str, int]) -> dict[str, Column]:
             return F.sum(F.when(leaves == 0, amount).when(leaves == i, -amount))
 
         one = F.when(F.col("_whole").isNotNull(), F.lit(1).cast("bigint"))
-        found |= {f"n_{i}": net(one), f"whole_{i}": net(F.col("_whole")), f"rest_{i}": net(F.col("_rest"))}
+        parts = {"n": one, "whole": F.col("_whole"), "rest": F.col("_rest")}
+        found |= {f"{what}_{i}": net(amount) for what, amount in parts.items()}
     return found
 
 

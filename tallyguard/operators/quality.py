@@ -27,8 +27,9 @@ def clean_transactions(df: DataFrame, defaults: dict | None = None) -> DataFrame
     )
     rest = sorted(set(df.columns) - {"txn_id", "ts"})
     order = [F.col(quoted(name)).desc_nulls_last() for name in ["ts", *rest]]
+    newest_first = Window.partitionBy("txn_id").orderBy(*order)
     latest = (
-        usable.withColumn("_rank", F.row_number().over(Window.partitionBy("txn_id").orderBy(*order)))
+        usable.withColumn("_rank", F.row_number().over(newest_first))
         .where("_rank = 1")
         .drop("_rank")
     )

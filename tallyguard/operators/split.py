@@ -40,16 +40,12 @@ def class_weights(df: DataFrame, label: str = "is_fraud") -> DataFrame:
     two rows at most, whatever the data, and is broadcast.
     """
     column = F.col(quoted(label))
-    everything = Window.partitionBy()
+    both = Window.partitionBy()
+    rows, classes = F.sum("_size").over(both), F.count("_size").over(both)
     sizes = (
         df.where(column.isin(0, 1))
         .groupBy(column.alias("_class"))
         .agg(F.count(F.lit(1)).alias("_size"))
-        .select(
-            "_class",
-            (
-                F.sum("_size").over(everything) / (F.count("_size").over(everything) * F.col("_size"))
-            ).alias("class_weight"),
-        )
+        .select("_class", (rows / (classes * F.col("_size"))).alias("class_weight"))
     )
     return df.join(F.broadcast(sizes), column == F.col("_class"), "left").drop("_class")

@@ -57,7 +57,8 @@ class Run:
 
 def log_run(spark: SparkSession, store: str, run: Run) -> None:
     """Append a run to the store."""
-    with_map = T.StructType([RUNS["run_id"], T.StructField("params", T.MapType(T.StringType(), T.StringType()))])
+    texts = T.MapType(T.StringType(), T.StringType())
+    with_map = T.StructType([RUNS["run_id"], T.StructField("params", texts)])
     params = {key: str(value) for key, value in run.params.items()}
     rows = {
         "params": spark.createDataFrame([(run.run_id, params)], with_map).select(
@@ -103,7 +104,11 @@ def runs_table(runs: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def compare_runs(
-    runs: DataFrame, params: DataFrame, metrics: DataFrame, metric_keys: list[str], param_keys: list[str]
+    runs: DataFrame,
+    params: DataFrame,
+    metrics: DataFrame,
+    metric_keys: list[str],
+    param_keys: list[str],
 ) -> DataFrame:
     """One row per run: the named parameters and the last values of the named metrics."""
     measured = (

@@ -137,7 +137,9 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     # Which of the one-hot slots is set depends on the order of the categories.
     kind = F.aggregate(F.slice(element, len(numeric) + 1, 100), F.lit(0.0), lambda a, x: a + x)
     return _round_floats(
-        kinds.select("txn_id", "channel", *[c.alias(n) for n, c in slots.items()], kind.alias("f_kind"))
+        kinds.select(
+            "txn_id", "channel", *[c.alias(n) for n, c in slots.items()], kind.alias("f_kind")
+        )
     )
 
 
@@ -148,8 +150,11 @@ def _trainable(spark: SparkSession, folder: str) -> DataFrame:
 
 def boosted_importances(spark: SparkSession, folder: str) -> DataFrame:
     rows, _ = split(_trainable(spark, folder))
-    fitted = training.train_boosted(rows, training.NUMERIC, category="channel", maxIter=5, maxDepth=3)
-    return spark.createDataFrame(list(fitted.importances.items()), "feature string, importance double")
+    fitted = training.train_boosted(
+        rows, training.NUMERIC, category="channel", maxIter=5, maxDepth=3
+    )
+    found = list(fitted.importances.items())
+    return spark.createDataFrame(found, "feature string, importance double")
 
 
 def logistic_coefficients(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,7 +171,9 @@ def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Train, save, load by path, score everything."""
     everything = _trainable(spark, folder)
     rows, _ = split(everything)
-    fitted = training.train_logistic(rows, ["amount", "prev_amount"], category="channel", maxIter=30)
+    fitted = training.train_logistic(
+        rows, ["amount", "prev_amount"], category="channel", maxIter=30
+    )
     path = shared_folder(spark, "model")
     fitted.model.save(path)
     return scoring.score(path, everything).select("txn_id", "is_fraud", "p_fraud")
@@ -186,7 +193,9 @@ def _derived_runs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.concat(F.lit("models/"), F.first("account_id").cast("string")).alias("model_path"),
     )
     params = txns.select(
-        run_id.alias("run_id"), F.lit("parity").alias("key"), (F.col("account_id") % 2).cast("string").alias("value")
+        run_id.alias("run_id"),
+        F.lit("parity").alias("key"),
+        (F.col("account_id") % 2).cast("string").alias("value"),
     ).distinct()
     metrics = txns.select(
         run_id.alias("run_id"),
@@ -217,7 +226,8 @@ def best_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def logged_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Measure the rule at three thresholds, log each as a run, read the store back."""
-    scored = materialize(scored_transactions(spark, folder).select("is_fraud", "p_fraud"), "scored")
+    scored = scored_transactions(spark, folder).select("is_fraud", "p_fraud")
+    scored = materialize(scored, "scored")
     store = shared_folder(spark, "store")
     for number, threshold in enumerate([0.1, 0.3, 0.5], start=1):
         measured = evaluation.confusion(scored, threshold).first()
@@ -233,7 +243,8 @@ def logged_runs(spark: SparkSession, folder: str) -> DataFrame:
     wide = tracking.compare_runs(
         tables["runs"], tables["params"], tables["metrics"], ["recall", "flagged"], ["threshold"]
     )
-    return _round_floats(wide.select("run_id", "experiment", "started", "threshold", "recall", "flagged"))
+    columns = ["run_id", "experiment", "started", "threshold", "recall", "flagged"]
+    return _round_floats(wide.select(columns))
 
 
 # streams
@@ -257,7 +268,7 @@ def streamed_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def streamed_previous(spark: SparkSession, folder: str) -> DataFrame:
     stream = prev_stream(read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH))
-    return _round_floats(_drain(stream, spark, "prev").select("txn_id", "prev_amount", "gap_seconds"))
+    return _round_floats(_drain(stream, spark, "prev").select("txn_id", *PREVIOUS))
 
 
 def streamed_velocity(spark: SparkSession, folder: str) -> DataFrame:
@@ -302,7 +313,9 @@ QUERIES: dict[str, Query] = {
     "synthesize": synthesized,
     "plant_fraud": _features(history.plant_fraud, ["is_fraud"]),
     "quality_report": lambda s, d: quality.quality_report(load_transactions(s, d)),
-    "quality_report_approx": lambda s, d: quality.quality_report(load_transactions(s, d), exact=False),
+    "quality_report_approx": lambda s, d: quality.quality_report(
+        load_transactions(s, d), exact=False
+    ),
     "clean_transactions": lambda s, d: quality.clean_transactions(load_transactions(s, d)),
     "clean_repeated_keys": deduplicated_lines,
     "parse_props": parsed_props,
@@ -312,7 +325,9 @@ QUERIES: dict[str, Query] = {
     "velocity_features_hot": _features(history.velocity_features, VELOCITY, skew=FORCED),
     "history_features": _features(history.history_features, HISTORY + CALENDAR),
     "history_features_hot": _features(history.history_features, HISTORY + CALENDAR, skew=FORCED),
-    "account_features": _features(history.account_features, PREVIOUS + VELOCITY + HISTORY + CALENDAR),
+    "account_features": _features(
+        history.account_features, PREVIOUS + VELOCITY + HISTORY + CALENDAR
+    ),
     "train_test_split": lambda s, d: with_part(load_transactions(s, d)).select("txn_id", "part"),
     "class_weights": lambda s, d: _round_floats(
         class_weights(history.plant_fraud(load_transactions(s, d))).select(

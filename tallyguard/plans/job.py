@@ -91,6 +91,7 @@ def train(
         return fitted, scored.withColumnRenamed(KOREAN["is_fraud"], "is_fraud"), settings
 
     store = f"{out}/runs"
+    names = {"boosted": "en", "logistic": "ko"}
     for learner, fit in (("boosted", boosted_run), ("logistic", logistic_run)):
         started = datetime.now(timezone.utc)
         fitted, scored, settings = fit()
@@ -101,7 +102,7 @@ def train(
             run_id=run_id,
             experiment=EXPERIMENT,
             model_path=path,
-            params={"learner": learner, "names": "ko" if learner == "logistic" else "en", **settings},
+            params={"learner": learner, "names": names[learner], **settings},
             metrics=_assess(scored),
             data_from=extent.data_from,
             data_to=extent.data_to,

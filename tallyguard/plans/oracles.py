@@ -71,7 +71,7 @@ _CALENDAR = """CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTE
 
 _PREV_COLUMNS = "prev_amount, round(gap_seconds, 9) AS gap_seconds"
 
-_PREV_QUERY = f"{WITH_PREV} SELECT txn_id, round(prev_amount, 9) AS prev_amount, round(gap_seconds, 9) AS gap_seconds FROM prev"
+_PREV_QUERY = f"{WITH_PREV} SELECT txn_id, {_PREV_COLUMNS} FROM prev"
 _VELOCITY_QUERY = f"{WITH_TXNS} SELECT txn_id, {_VELOCITY} FROM txns WINDOW {_VELOCITY_WINDOWS}"
 _HISTORY_QUERY = f"{WITH_TXNS}, {HIST} SELECT txn_id, {_HISTORY}, {_CALENDAR} FROM hist"
 

@@ -10,7 +10,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tallyguard.functions import quoted
 from tallyguard.session import STATE_STORE
 
 # The processor travels with the query: executors need not have this package installed.
@@ -32,7 +31,9 @@ class PreviousTransaction(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._last = handle.getValueState("last", LAST_SEEN)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(
+        self, key, rows: Iterator[pd.DataFrame], timerValues
+    ) -> Iterator[pd.DataFrame]:
         # A key's rows may come in several unordered chunks; the source bounds the batch.
         # Names that are no Python names, such as one with a leading underscore, get lost.
         batch = pd.concat(list(rows), ignore_index=True)

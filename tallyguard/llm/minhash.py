@@ -8,8 +8,8 @@ with an equal band share a bucket. A bucket of n documents gives n - 1 candidate
 star around its smallest document, and never all pairs. Edges are confirmed on full sets.
 
 A star may miss a link between two leaves that are both unlike the centre. So the centres
-leave their buckets, and while a bucket still holds documents of several components a new
-star is laid in it. When no such bucket is left every pair of a bucket that could join two
+leave their buckets, and while a bucket still holds documents of several components new
+stars are laid in it, up to ``STARS`` at a time around members drawn by hash. When no such bucket is left every pair of a bucket that could join two
 components has been compared, or is joined already. Equal sets are one class from the
 start, represented by its smallest document, so copies never make edges.
 
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from tallyguard.llm import scan
 from tallyguard.llm.graph import components
 from tallyguard.llm.work import batched, materialize, tidy
 
+STARS = 8
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -73,10 +75,15 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, hasher: scan.Hasher, k: i
     return owner[order][new], whole[order][new]
 
 
-def probes(bins: int) -> Iterator[np.ndarray]:
-    """Round by round, the bin that each bin would copy from if it were empty."""
-    for attempt in range(1, 64 * bins):
-        yield (scan.seeded(1000 + attempt, bins) % np.uint64(bins)).astype(np.int64)
+@lru_cache(maxsize=4)
+def probes(bins: int) -> np.ndarray:
+    """Round by round, the bin that each bin would copy from if it were empty.
+
+    The last rounds walk over all bins, so every empty bin of a non-empty set finds one.
+    """
+    drawn = scan.seeded(1000, 8 * bins * bins).reshape(-1, bins) % np.uint64(bins)
+    walk = (np.arange(bins)[None, :] + np.arange(1, bins)[:, None]) % bins
+    return np.concatenate((drawn.astype(np.int64), walk))
 
 
 def sketch(row: np.ndarray, value: np.ndarray, rows: int, bins: int) -> np.ndarray:
@@ -183,9 +190,11 @@ def links_of(docs: DataFrame, entries: DataFrame, shape: Shape) -> DataFrame:
     found = spark.createDataFrame([], "v long, c long")
     links, parts = None, []
     while True:
-        centres = entries.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("size")).where("size > 1")
+        drawn = [F.min_by("doc_id", F.xxhash64("doc_id", F.lit(t))) for t in range(1, STARS if parts else 1)]
+        centres = entries.groupBy("band").agg(F.array_distinct(F.array(F.min("doc_id"), *drawn)).alias("all"), F.count("*").alias("size"))
+        centres = centres.where("size > 1").select("band", F.explode("all").alias("a"), (F.col("size") - F.size("all")).alias("left"))
         stars = entries.join(centres.select("band", "a"), "band").where("doc_id <> a").select("a", F.col("doc_id").alias("b"))
-        pairs = stars.distinct()
+        pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if parts:
             comp = found
             pairs = (
@@ -204,7 +213,7 @@ def links_of(docs: DataFrame, entries: DataFrame, shape: Shape) -> DataFrame:
             found = components(links)
         # Centres leave; buckets whose rest is of one component are done.
         rest = entries.join(centres.select("band", F.col("a").alias("doc_id")), ["band", "doc_id"], "left_anti")
-        rest = rest.join(centres.where("size > 2").select("band"), "band", "left_semi")
+        rest = rest.join(centres.where("left > 1").select("band"), "band", "left_semi")
         labelled = rest.join(found.select(F.col("v").alias("doc_id"), "c"), "doc_id", "left").select("band", "doc_id", F.coalesce("c", "doc_id").alias("c"))
         mixed = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("band")
         entries = materialize(rest.join(mixed, "band", "left_semi"), "entries")

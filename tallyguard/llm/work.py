@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
+import tallyguard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyguard.session import materialize
@@ -16,8 +21,26 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this library to the executors, whose Python may not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyguard_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(tallyguard.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), "tallyguard.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(archive)
+    context._tallyguard_shipped = True
+
+
 def batched(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Bound the Arrow batches that tasks of this session get."""
+    """Prepare the session for Python tasks: the code they need, and bounded Arrow batches."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -9,7 +9,8 @@ star around its smallest document, and never all pairs. Edges are confirmed on f
 
 A star may miss a link between two leaves that are both unlike the centre. So the centres
 leave their buckets, and while a bucket still holds documents of several components new
-stars are laid in it, up to ``STARS`` at a time around members drawn by hash. When no such bucket is left every pair of a bucket that could join two
+stars are laid in it around members drawn by hash: about ``STARS`` in the second round and
+four times as many in each later one. When no such bucket is left every pair of a bucket that could join two
 components has been compared, or is joined already. Equal sets are one class from the
 start, represented by its smallest document, so copies never make edges.
 
@@ -186,39 +187,36 @@ def confirm(docs: DataFrame, pairs: DataFrame, shape: Shape) -> DataFrame:
 
 def links_of(docs: DataFrame, entries: DataFrame, shape: Shape) -> DataFrame:
     """Component of every representative that has a confirmed link: ``v, c``."""
-    spark = docs.sparkSession
-    found = spark.createDataFrame([], "v long, c long")
-    links, parts = None, []
+    found, links, stars = None, None, 1
     while True:
-        drawn = [F.min_by("doc_id", F.xxhash64("doc_id", F.lit(t))) for t in range(1, STARS if parts else 1)]
-        centres = entries.groupBy("band").agg(F.array_distinct(F.array(F.min("doc_id"), *drawn)).alias("all"), F.count("*").alias("size"))
-        centres = centres.where("size > 1").select("band", F.explode("all").alias("a"), (F.col("size") - F.size("all")).alias("left"))
-        stars = entries.join(centres.select("band", "a"), "band").where("doc_id <> a").select("a", F.col("doc_id").alias("b"))
-        pairs = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if parts:
-            comp = found
+        sizes = entries.groupBy("band").agg(F.min("doc_id").alias("low"), F.count("*").alias("size")).where("size > 1")
+        members = entries.join(sizes, "band")
+        drawn = F.pmod(F.xxhash64("doc_id", F.lit(stars)), F.col("size")) < (stars if stars > 1 else 0)
+        members = materialize(members.withColumn("centre", (F.col("doc_id") == F.col("low")) | drawn).drop("low", "size"), "members")
+        centres = members.where("centre").select("band", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
+        near = members.join(centres, "band").where(
+            F.expr(f"doc_id <> a AND NOT (centre AND doc_id < a) AND 100 * least(n, n_a) >= {shape.percent} * greatest(n, n_a)")
+        )
+        pairs = near.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+        if found is not None:
             pairs = (
-                pairs.join(comp.select(F.col("v").alias("a"), F.col("c").alias("c_a")), "a", "left")
-                .join(comp.select(F.col("v").alias("b"), F.col("c").alias("c_b")), "b", "left")
+                pairs.join(found.select(F.col("v").alias("a"), F.col("c").alias("c_a")), "a", "left")
+                .join(found.select(F.col("v").alias("b"), F.col("c").alias("c_b")), "b", "left")
                 .where("NOT (coalesce(c_a, a) <=> coalesce(c_b, b))")
                 .select("a", "b")
             )
-        pairs = materialize(pairs, "pairs")
-        new = materialize(confirm(docs, pairs, shape), "confirmed")
-        if not parts or new.limit(1).count():
-            parts.append(new)
-            links = parts[0]
-            for more in parts[1:]:
-                links = links.unionByName(more)
+        new = materialize(confirm(docs, materialize(pairs, "pairs"), shape), "confirmed")
+        if links is None or new.limit(1).count():
+            links = new if links is None else links.unionByName(new)
             found = components(links)
         # Centres leave; buckets whose rest is of one component are done.
-        rest = entries.join(centres.select("band", F.col("a").alias("doc_id")), ["band", "doc_id"], "left_anti")
-        rest = rest.join(centres.where("left > 1").select("band"), "band", "left_semi")
-        labelled = rest.join(found.select(F.col("v").alias("doc_id"), "c"), "doc_id", "left").select("band", "doc_id", F.coalesce("c", "doc_id").alias("c"))
+        rest = members.where("NOT centre").drop("centre")
+        labelled = rest.join(found.select(F.col("v").alias("doc_id"), "c"), "doc_id", "left").select("band", F.coalesce("c", "doc_id").alias("c"))
         mixed = labelled.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("band")
         entries = materialize(rest.join(mixed, "band", "left_semi"), "entries")
         if not entries.limit(1).count():
             return found
+        stars = max(STARS, 4 * stars)
 
 
 def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
@@ -228,7 +226,7 @@ def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     classes = table.where("doc_id IS NOT NULL AND n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "classes")
     by_rep = table.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2", "n"), ["doc_id", "k1", "k2", "n"], "left_semi")
-    entries = by_rep.select("doc_id", F.explode("bands").alias("band"))
+    entries = by_rep.select("doc_id", "n", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").count().where("count > 1").select("band")
     entries = materialize(entries.join(shared, "band", "left_semi").distinct(), "entries")
     found = links_of(docs, entries, shape)

@@ -7,11 +7,11 @@ import tempfile
 import zipfile
 
 import tallyguard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyguard.session import materialize
 
-__all__ = ["materialize", "read", "tidy", "renamed_apart", "batched"]
+__all__ = ["materialize", "read", "tidy", "renamed_apart", "batched", "numbered", "ship_code", "spread"]
 
 # Rows of an Arrow batch that carry texts: with texts of 4 kB that is 4 MB.
 TEXT_ROWS = 1_000
@@ -60,3 +60,18 @@ def renamed_apart(df: DataFrame, taken: list[str]) -> str:
 def spread(key: Column, parts: int) -> Column:
     """A number from 0 to parts - 1 that depends on the key alone."""
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
+def numbered(df: DataFrame, *order: str, name: str = "no") -> DataFrame:
+    """Number all rows from 0 in the given order, without bringing them into one task.
+
+    The rows are cut by range and sorted within their parts, so ``order`` should tell rows
+    apart: equal ones land in one part, in any order. Only a count per part is summed up.
+    """
+    sorted_ = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    parts = materialize(sorted_.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    parts = parts.withColumns({"_part": F.shiftright("_at", 33), "_at": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = parts.groupBy("_part").agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_part", before.alias("_before"))  # one row per part
+    return parts.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")

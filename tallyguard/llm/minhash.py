@@ -10,10 +10,15 @@ star around its smallest document, and never all pairs. Edges are confirmed on f
 A star may miss a link between two leaves that are both unlike the centre. So the centres
 leave their buckets, and while a bucket still holds documents of several components new
 stars are laid in it around members drawn by hash: about ``STARS`` in the second round and
-four times as many in each later one. When no such bucket is left every pair of a bucket that could join two
+sixteen times as many in each later one. When no such bucket is left every pair of a bucket that could join two
 components has been compared, or is joined already. Equal sets are one class from the
 start, represented by its smallest document, so copies never make edges.
 
+Families of documents that are alike, but not enough, would fill the later rounds with
+pairs. So every set also has ``BITS`` parity bits: each shingle flips one of them. Two sets
+differ in at least as many shingles as bits, which bounds their similarity from above; pairs
+whose bound is too low are dropped inside the join. This filter never drops a link.
+
 What may be lost: a pair at the threshold shares no bucket with probability
 (1 - 0.8^rows)^bands, 1.2e-7 with the defaults.
 
@@ -37,7 +42,8 @@ from tallyguard.llm import scan
 from tallyguard.llm.graph import components
 from tallyguard.llm.work import batched, materialize, tidy
 
-STARS = 8
+STARS = 16
+BITS = 2048
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -118,6 +124,28 @@ def band_keys(minima: np.ndarray, shape: Shape) -> np.ndarray:
     return keys
 
 
+def parity_bits(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
+    """Words of ``BITS`` bits per set; each shingle flips one bit."""
+    bit = row * BITS + (scan.mix(value ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(bit, minlength=rows * BITS) & 1
+    return np.packbits(odd.astype(bool).reshape(rows, BITS), axis=1).view(np.int64)
+
+
+FOLD = 8  # words of the bits folded onto each other, for a first, cheaper bound
+
+
+def _may_link(shape: Shape) -> str:
+    """SQL: the sizes of ``a`` and ``b``, and the bounds that their parity bits give, allow a link."""
+
+    def bound(column: str, words: int) -> str:
+        apart = " + ".join(f"bit_count({column}_a[{i}] ^ {column}_b[{i}])" for i in range(words))
+        # Similarity is at most (n + m - d) / (n + m + d) for sets that differ in d shingles.
+        return f"{100 + shape.percent} * ({apart}) <= {100 - shape.percent} * (n_a + n_b)"
+
+    sizes = f"100 * least(n_a, n_b) >= {shape.percent} * greatest(n_a, n_b)"
+    return f"{sizes} AND {bound('fold', FOLD)} AND {bound('bits', BITS // 64)}"
+
+
 def sketches(docs: DataFrame, shape: Shape) -> DataFrame:
     """Per document: size of its set, two keys that identify the set, and its band keys."""
     batched(docs.sparkSession)
@@ -142,11 +170,14 @@ def sketches(docs: DataFrame, shape: Shape) -> DataFrame:
                         pa.ListArray.from_arrays(
                             pa.array(np.concatenate(([0], np.cumsum(lists))), pa.int32()), pa.array(keys[size > 0].view(np.int64).ravel())
                         ),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(b - a + 1) * (BITS // 64), pa.int32()), pa.array(parity_bits(row, value, b - a).ravel())
+                        ),
                     ],
-                    names=["doc_id", "n", "k1", "k2", "bands"],
+                    names=["doc_id", "n", "k1", "k2", "bands", "bits"],
                 )
 
-    return tidy(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bands array<long>")
+    return tidy(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, n long, k1 long, k2 long, bands array<long>, bits array<long>")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -173,39 +204,39 @@ def confirm(docs: DataFrame, pairs: DataFrame, shape: Shape) -> DataFrame:
     sets = materialize(full_sets(docs.join(needed, "doc_id", "left_semi"), shape.words), "sets")
     left = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("of_b"))
     right = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("of_a"))
-    sized = sets.select("doc_id", F.size("items").alias("n"))
-    close = (
-        pairs.join(sized.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a")), "a")
-        .join(sized.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b")), "b")
-        .where(F.expr(f"100 * least(n_a, n_b) >= {shape.percent} * greatest(n_a, n_b)"))
-        .select("a", "b")
-    )
-    both = close.join(left, "b").join(right, "a")
+    both = pairs.join(left, "b").join(right, "a")
     common = both.select("a", "b", F.size("of_a").alias("n"), F.size("of_b").alias("m"), F.size(F.array_intersect("of_a", "of_b")).alias("c"))
     return common.where(F.expr(f"100L * c >= {shape.percent}L * (n + m - c)")).select("a", "b").distinct()
 
 
-def links_of(docs: DataFrame, entries: DataFrame, shape: Shape) -> DataFrame:
+def _pairs(members: DataFrame, bits: DataFrame, found: DataFrame | None, shape: Shape) -> DataFrame:
+    """Pairs of a star's centre and another member of its bucket that may be linked."""
+    centres = members.where("centre").select("band", F.col("doc_id").alias("a"))
+    other = members.select("band", F.col("doc_id").alias("b"), "centre")
+    apart = "a <> b AND NOT (centre AND b < a)"
+    ends = lambda name: bits.select(F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"), F.col("fold").alias(f"fold_{name}"))
+    may_link = _may_link(shape)
+    if found is None:
+        stars = centres.join(other, "band").where(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return stars.join(ends("b"), "b").join(ends("a"), "a").where(may_link).select("a", "b")
+    label = lambda name: found.select(F.col("v").alias(name), F.col("c").alias(f"c_{name}"))
+    full = lambda df, name: (
+        df.join(ends(name), name).join(label(name), name, "left").withColumn(f"c_{name}", F.coalesce(f"c_{name}", name))
+    )
+    near = full(centres, "a").join(full(other, "b"), "band").where(f"{apart} AND c_a <> c_b AND {may_link}")
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def links_of(docs: DataFrame, entries: DataFrame, bits: DataFrame, shape: Shape) -> DataFrame:
     """Component of every representative that has a confirmed link: ``v, c``."""
     found, links, stars = None, None, 1
     while True:
         sizes = entries.groupBy("band").agg(F.min("doc_id").alias("low"), F.count("*").alias("size")).where("size > 1")
-        members = entries.join(sizes, "band")
         drawn = F.pmod(F.xxhash64("doc_id", F.lit(stars)), F.col("size")) < (stars if stars > 1 else 0)
-        members = materialize(members.withColumn("centre", (F.col("doc_id") == F.col("low")) | drawn).drop("low", "size"), "members")
-        centres = members.where("centre").select("band", F.col("doc_id").alias("a"), F.col("n").alias("n_a"))
-        near = members.join(centres, "band").where(
-            F.expr(f"doc_id <> a AND NOT (centre AND doc_id < a) AND 100 * least(n, n_a) >= {shape.percent} * greatest(n, n_a)")
-        )
-        pairs = near.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-        if found is not None:
-            pairs = (
-                pairs.join(found.select(F.col("v").alias("a"), F.col("c").alias("c_a")), "a", "left")
-                .join(found.select(F.col("v").alias("b"), F.col("c").alias("c_b")), "b", "left")
-                .where("NOT (coalesce(c_a, a) <=> coalesce(c_b, b))")
-                .select("a", "b")
-            )
-        new = materialize(confirm(docs, materialize(pairs, "pairs"), shape), "confirmed")
+        members = entries.join(sizes, "band").withColumn("centre", (F.col("doc_id") == F.col("low")) | drawn).drop("low", "size")
+        if stars > 1:
+            members = materialize(members, "members")
+        new = materialize(confirm(docs, materialize(_pairs(members, bits, found, shape), "pairs"), shape), "confirmed")
         if links is None or new.limit(1).count():
             links = new if links is None else links.unionByName(new)
             found = components(links)
@@ -216,7 +247,7 @@ def links_of(docs: DataFrame, entries: DataFrame, shape: Shape) -> DataFrame:
         entries = materialize(rest.join(mixed, "band", "left_semi"), "entries")
         if not entries.limit(1).count():
             return found
-        stars = max(STARS, 4 * stars)
+        stars = STARS * stars
 
 
 def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
@@ -226,13 +257,15 @@ def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     classes = table.where("doc_id IS NOT NULL AND n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "classes")
     by_rep = table.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2", "n"), ["doc_id", "k1", "k2", "n"], "left_semi")
-    entries = by_rep.select("doc_id", "n", F.explode("bands").alias("band"))
+    entries = by_rep.select("doc_id", F.explode("bands").alias("band"))
     shared = entries.groupBy("band").count().where("count > 1").select("band")
     entries = materialize(entries.join(shared, "band", "left_semi").distinct(), "entries")
-    found = links_of(docs, entries, shape)
+    fold = F.array(*[F.expr(" ^ ".join(f"bits[{i}]" for i in range(j, BITS // 64, FOLD))) for j in range(FOLD)])
+    bits = by_rep.select("doc_id", "n", "bits", fold.alias("fold")).dropDuplicates(["doc_id"])
+    found = links_of(docs, entries, materialize(bits, "bits"), shape)
     grouped = classes.join(found.withColumnRenamed("v", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("c", "rep").alias("component"))
     return (
-        table.drop("bands")
+        table.drop("bands", "bits")
         .join(grouped, ["k1", "k2", "n"], "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
         .select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

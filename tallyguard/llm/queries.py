@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyguard.llm import minhash, rules
+from tallyguard.llm import chat, grammar, language, minhash, mixing, neighbours, packing, rules, suffixes
+from tallyguard.llm.tokens import default_path
 from tallyguard.llm.work import read
 
 
@@ -12,9 +13,52 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents"), minhash.Shape(words=2))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(read(spark, folder, "documents"))
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(read(spark, folder, "documents"), default_path())
+
+
+def op5_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_bytes(read(spark, folder, "documents"), suffixes.Passage(size=400))
+
+
+def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with a reply, against itself with its last reply replaced."""
+    turns = chat.turns_of(read(spark, folder, "conversations"))
+    return chat.preference_rows(chat.stale_replies(turns))
+
+
+def op7_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbours(read(spark, folder, "embeddings"), every=20)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op2_minhash_near_dedup, op8_quality_rules)}
+def op9_token_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    return grammar.decode(grammar.write_blocks(read(spark, folder, "documents"), default_path()))
+
+
+def op10_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(read(spark, folder, "documents"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op2_minhash_near_dedup,
+        op3_language_id,
+        op4_best_fit_packing,
+        op5_suffix_array_dedup,
+        op6_chat_formatting,
+        op7_multi_index_hashing,
+        op8_quality_rules,
+        op9_token_grammar,
+        op10_entropy_mixing,
+    )
+}
 ORACLES: dict[str, str] = {}

@@ -124,7 +124,7 @@ def _searched(rows: DataFrame, queries: DataFrame, codes: Codes, radius: int, in
 
     def dealt(df: DataFrame, own: int, others: int, mine: str, theirs: str) -> DataFrame:
         part = F.pmod(F.xxhash64("vec_id", F.lit(index.seed)), F.lit(own))
-        return df.select("vec_id", "v", part.alias(mine), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).cast("long").alias(theirs))
+        return df.select("vec_id", "v", part.alias(mine), F.explode(F.expr(f"sequence(0L, {others - 1}L)")).alias(theirs))
 
     left = dealt(queries, query_parts, data_parts, "q", "d").groupBy("q", "d")
     right = dealt(rows, data_parts, query_parts, "d", "q").groupBy("q", "d")

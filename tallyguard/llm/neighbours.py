@@ -102,7 +102,7 @@ class Tables:
         hit = np.zeros(len(self.codes), dtype=bool)
         values = np.arange(256, dtype=np.uint8)
         for j, byte in enumerate(code):
-            for value in values[_BITS[values ^ byte] <= share]:
+            for value in values[_BITS[values ^ byte] <= share].tolist():
                 hit[self.order[self.starts[j, value] : self.starts[j, value + 1], j]] = True
             if hit.all():
                 break

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tallyguard.plans.catalog import QUERIES
@@ -39,6 +40,9 @@ HEADLINE = [
     "runs_table",
     "best_run",
     "score_logistic",
+    "batch_score",
+    "prepare",
+    "prepare_train_score",
     "score_stream",
     "prev_stream",
     "velocity_stream",
@@ -54,6 +58,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,6 +10,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def usable_score(name: str = "p_fraud") -> Column:
+    """True for scores that are numbers; null, NaN and infinity are no scores. Never null."""
+    return F.coalesce(F.abs(F.col(quoted(name))) < float("inf"), F.lit(False))
+
+
 def hash32(text: Column) -> Column:
     """The first 32 bits of the MD5 of ``text`` as a bigint; other SQL engines agree on it."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")

@@ -1,10 +1,17 @@
-"""How well scores tell fraud from the rest."""
+"""How well scores tell fraud from the rest.
+
+A score that is null, NaN or infinite is no score: ``confusion`` does not flag its row, and
+the others leave the row out.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyguard.functions import usable_score
+from tallyguard.session import materialize
+
 SMALLEST = 1e-15
 
 
@@ -23,7 +30,7 @@ def _counts(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
 
 def confusion(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row of counts and rates. A row without a score is not flagged."""
-    flagged = F.coalesce(F.col("p_fraud") >= threshold, F.lit(False))
+    flagged = usable_score() & (F.col("p_fraud") >= threshold)
     fraud = F.col("is_fraud") == 1
     honest = F.col("is_fraud") == 0
     counted = scored.agg(
@@ -41,21 +48,28 @@ def threshold_sweep(scored: DataFrame, bins: int = 100) -> DataFrame:
     ``tpr`` over ``fpr`` is the ROC curve, ``precision`` over ``tpr`` the other one. Rows
     are reduced to ``bins`` before the running sum, so that window holds ``bins`` rows.
     """
-    last = F.lit(bins - 1).cast("long")
-    binned = (
-        scored.where(F.col("p_fraud").isNotNull() & F.col("is_fraud").isin(0, 1))
-        .withColumn("bin", F.least(F.floor(F.col("p_fraud") * bins), last))
+    p = F.col("p_fraud")
+    threshold = lambda bin_: bin_ / F.lit(float(bins))
+    near = F.floor(p * bins)
+    # The product may be rounded over a bin's edge; the emitted threshold decides.
+    exact = F.when(threshold(near) > p, near - 1).when(threshold(near + 1) <= p, near + 1).otherwise(near)
+    counted = (
+        scored.where(usable_score() & F.col("is_fraud").isin(0, 1))
+        .withColumn("bin", F.greatest(F.lit(0), F.least(exact, F.lit(bins - 1))))
         .groupBy("bin")
         .agg(
             F.count_if(F.col("is_fraud") == 1).alias("fraud"),
             F.count_if(F.col("is_fraud") == 0).alias("honest"),
         )
     )
+    # Every bin has a line, also where no score lies.
+    every = scored.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    binned = every.join(counted, "bin", "left").fillna(0, ["fraud", "honest"])
     downwards = Window.orderBy(F.desc("bin"))
     everything = Window.partitionBy()
     swept = binned.select(
         "bin",
-        (F.col("bin") / F.lit(float(bins))).alias("threshold"),
+        threshold(F.col("bin")).alias("threshold"),
         F.sum("fraud").over(downwards).alias("tp"),
         F.sum("honest").over(downwards).alias("fp"),
         F.sum("fraud").over(everything).alias("_fraud"),
@@ -86,15 +100,17 @@ def auc(scored: DataFrame) -> DataFrame:
     cuts lie, not what comes out.
     """
     usable = scored.where(
-        F.col("p_fraud").isNotNull() & ~F.isnan("p_fraud") & F.col("is_fraud").isin(0, 1)
+        usable_score() & F.col("is_fraud").isin(0, 1)
     )
     buckets = max(2, int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(usable.approxQuantile("p_fraud", shares, 1 / (4 * buckets)))) or [0.5]
     by_score = usable.groupBy("p_fraud").agg(
         F.count_if(F.col("is_fraud") == 1).alias("fraud"),
         F.count_if(F.col("is_fraud") == 0).alias("honest"),
     )
+    # Written once: the rows are scored for the counts only, and cut from these.
+    by_score = materialize(by_score, "by-score")
+    cuts = sorted(set(by_score.approxQuantile("p_fraud", shares, 1 / (4 * buckets)))) or [0.5]
     bucketed = Bucketizer(
         splits=[-float("inf"), *cuts, float("inf")], inputCol="p_fraud", outputCol="bucket"
     ).transform(by_score)
@@ -131,7 +147,7 @@ def log_loss(scored: DataFrame) -> DataFrame:
     """Mean log-loss and Brier score in one row; certainty is clipped to stay finite."""
     p = F.greatest(F.lit(SMALLEST), F.least(F.lit(1 - SMALLEST), F.col("p_fraud")))
     y = F.col("is_fraud")
-    usable = scored.where(F.col("p_fraud").isNotNull() & y.isin(0, 1))
+    usable = scored.where(usable_score() & y.isin(0, 1))
     return usable.agg(
         F.count(F.lit(1)).alias("rows"),
         F.avg(-(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("log_loss"),

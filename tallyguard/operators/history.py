@@ -21,8 +21,13 @@ SPANS = {"1h": 3600, "1d": 86400, "7d": 7 * 86400}
 
 # A trailing sum is a difference of two running sums and must come out the same whatever
 # the order and the partitioning. Amounts are therefore summed as integers: whole units,
-# and the rest in millionths.
-REST = 1_000_000
+# and the rest in units of 2^-52, which is exact for amounts of one and more. Smaller ones
+# are rounded to 2^-52 (2e-16). Amounts from LARGEST on, like NaN and infinity, are no
+# amounts: no feature but ``prev_amount`` sees them. With smaller ones, sums of up to 10^11
+# rows fit into decimals of 38 digits.
+REST = 1 << 52
+LARGEST = 1e27
+WHOLE, PART = "decimal(28,0)", "decimal(20,0)"
 
 # Money has two places; a spread below this is rounding noise around equal amounts.
 NO_SPREAD = 1e-9
@@ -97,17 +102,21 @@ def prev_features(df: DataFrame, skew: Skew = Skew()) -> DataFrame:
 # trailing spans
 
 
+def _amount() -> Column:
+    """The amount, null where it is none."""
+    return F.when(F.abs(F.col("amount")) < LARGEST, F.col("amount"))
+
+
 def _in_units(df: DataFrame) -> DataFrame:
     """Add ``_whole`` and ``_rest``, null where there is no finite amount."""
-    amount = F.col("amount")
-    finite = F.abs(amount) < float("inf")
-    return df.withColumn("_whole", F.when(finite, F.floor(amount))).withColumn(
-        "_rest", F.round((amount - F.col("_whole")) * REST).cast("bigint")
+    amount = _amount()
+    return df.withColumn("_whole", F.rint(amount).cast(WHOLE)).withColumn(
+        "_rest", F.rint((amount - F.rint(amount)) * float(REST)).cast("bigint").cast(PART)
     )
 
 
 def _money(whole: Column, rest: Column) -> Column:
-    return whole.cast("double") + rest / REST
+    return whole.cast("double") + rest.cast("double") / float(REST)
 
 
 def _named_spans(df: DataFrame, totals: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
@@ -292,7 +301,7 @@ def velocity_features(
 
 
 def _with_score(df: DataFrame, n: Column, mean: Column, sd: Column) -> DataFrame:
-    amount = F.col("amount")
+    amount = _amount()
     return df.withColumns({"hist_n": n, "hist_mean": mean, "hist_sd": sd}).withColumn(
         "z_amount",
         F.when(
@@ -311,7 +320,7 @@ def calendar_features(df: DataFrame) -> DataFrame:
 
 def _history_plain(df: DataFrame) -> DataFrame:
     earlier = _by_account().rowsBetween(Window.unboundedPreceding, -1)
-    amount = F.col("amount")
+    amount = _amount()
     return _with_score(
         df,
         F.count(amount).over(earlier),
@@ -328,9 +337,9 @@ def _history_chunked(work: DataFrame, base: DataFrame) -> DataFrame:
     account = Window.partitionBy("account_id")
     before = account.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     moments = base.groupBy("account_id", "_chunk").agg(
-        F.count("amount").alias("n"),
-        F.avg("amount").alias("mean"),
-        F.var_pop("amount").alias("var"),
+        F.count(_amount()).alias("n"),
+        F.avg(_amount()).alias("mean"),
+        F.var_pop(_amount()).alias("var"),
     )
     centre = F.sum(F.col("n") * F.col("mean")).over(account) / F.sum("n").over(account)
     off = F.col("mean") - F.col("centre")
@@ -356,9 +365,9 @@ def _history_chunked(work: DataFrame, base: DataFrame) -> DataFrame:
     earlier = _in_chunk(work).rowsBetween(Window.unboundedPreceding, -1)
     inside = work.withColumns(
         {
-            "_n1": F.count("amount").over(earlier),
-            "_mean1": F.avg("amount").over(earlier),
-            "_m21": F.var_pop("amount").over(earlier) * F.count("amount").over(earlier),
+            "_n1": F.count(_amount()).over(earlier),
+            "_mean1": F.avg(_amount()).over(earlier),
+            "_m21": F.var_pop(_amount()).over(earlier) * F.count(_amount()).over(earlier),
         }
     )
     zero = F.lit(0.0)

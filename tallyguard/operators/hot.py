@@ -6,9 +6,10 @@ accounts are found by counting, and their rows are cut into chunks: ranges of
 (account, time, id) of about equal size, each small enough for a task. An operator then
 works inside the chunks and carries a few totals from one chunk to the next.
 
-Chunks are contiguous ranges, so there are at most (hot accounts + chunks) pairs of
-account and chunk: the table of totals is bounded by ``MAX_HOT + MAX_CHUNKS`` rows
-however big the data is, and may be broadcast.
+Every account above ``Skew.hot_rows`` is cut, and into as many chunks as its rows need.
+Chunks are contiguous ranges, so there are at most (hot accounts + chunks) pairs of account
+and chunk. Neither the list of hot accounts nor the table of totals is collected or forced
+into a broadcast: the optimizer broadcasts them while they are small.
 """
 
 from __future__ import annotations
@@ -17,12 +18,9 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallyguard.session import shared_folder
-
-MAX_HOT = 1_000
-MAX_CHUNKS = 20_000
+from tallyguard.session import materialize, shared_folder
 
 
 @dataclass(frozen=True)
@@ -35,33 +33,30 @@ class Skew:
 
 @dataclass(frozen=True)
 class HotAccounts:
-    keys: list
+    """The hot accounts as a table with one column, and how many rows they have together."""
+
+    table: DataFrame | None
     rows: int
 
-    def here(self) -> Column:
-        """True for rows of hot accounts, never null."""
-        named = ", ".join(str(int(key)) for key in self.keys if key is not None)
-        tests = [f"account_id IS NOT NULL AND account_id IN ({named})"] if named else []
-        tests += ["account_id IS NULL"] if None in self.keys else []
-        return F.expr(" OR ".join(tests))
+    @property
+    def any(self) -> bool:
+        return self.table is not None
+
+    def of(self, df: DataFrame, how: str) -> DataFrame:
+        """The rows of hot accounts (``left_semi``) or of all others (``left_anti``)."""
+        return df.join(self.table, F.col("account_id").eqNullSafe(F.col("_hot_account")), how)
 
 
 def hot_accounts(df: DataFrame, skew: Skew) -> HotAccounts:
-    """The biggest accounts above ``hot_rows``, at most ``MAX_HOT`` of them.
+    """All accounts above ``hot_rows``; an account may be null.
 
-    The count reads one column and is combined before its shuffle. Accounts beyond
-    ``MAX_HOT`` are not lost: each of them holds less than 1/MAX_HOT of the rows and goes
-    through the plain window like any other.
+    The count reads one column and is combined before its shuffle.
     """
-    biggest = (
-        df.groupBy("account_id")
-        .count()
-        .where(F.col("count") > skew.hot_rows)
-        .orderBy(F.desc("count"), "account_id")
-        .limit(MAX_HOT)
-        .collect()
-    )
-    return HotAccounts([row[0] for row in biggest], sum(row[1] for row in biggest))
+    counted = df.groupBy("account_id").count().where(F.col("count") > skew.hot_rows)
+    rows = counted.agg(F.sum("count")).first()[0]
+    if not rows:
+        return HotAccounts(None, 0)
+    return HotAccounts(materialize(counted.select(F.col("account_id").alias("_hot_account")), "hot-accounts"), rows)
 
 
 def split_hot(
@@ -77,9 +72,9 @@ def split_hot(
     the table that ``df`` was cleaned from: an account too many there does no harm.
     """
     hot = hot or hot_accounts(df, skew)
-    if not hot.keys:
+    if not hot.any:
         return plain(df)
-    return plain(df.where(~hot.here())).unionByName(chunked(df.where(hot.here()), hot.rows))
+    return plain(hot.of(df, "left_anti")).unionByName(chunked(hot.of(df, "left_semi"), hot.rows))
 
 
 def cut_into_chunks(df: DataFrame, order: list[str], rows: int, skew: Skew) -> DataFrame:
@@ -88,7 +83,7 @@ def cut_into_chunks(df: DataFrame, order: list[str], rows: int, skew: Skew) -> D
     Range bounds come from sampling, so a second run of the same plan may choose others.
     The rows are therefore written once, with their chunk, to the shared folder.
     """
-    chunks = max(1, min(MAX_CHUNKS, math.ceil(rows / skew.chunk_rows)))
+    chunks = max(1, math.ceil(rows / skew.chunk_rows))
     spark = df.sparkSession
     path = shared_folder(spark, "chunks")
     ranged = df.repartitionByRange(chunks, "account_id", *order).withColumn(
@@ -102,7 +97,7 @@ def join_carry(df: DataFrame, carry: DataFrame) -> DataFrame:
     """Attach each chunk's carried totals; accounts may be null."""
     named = carry.withColumnsRenamed({"account_id": "_carry_account", "_chunk": "_carry_chunk"})
     return df.join(
-        F.broadcast(named),
+        named,
         (F.col("_chunk") == F.col("_carry_chunk"))
         & F.col("account_id").eqNullSafe(F.col("_carry_account")),
         "left",

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyguard.functions import quoted, sigmoid
+from tallyguard.functions import quoted, sigmoid, usable_score
 from tallyguard.operators.training import drop_helpers
 
 
@@ -54,12 +54,14 @@ def score_logistic(
 def alerts(scored: DataFrame, k: int = 10, threshold: float = 0.5) -> DataFrame:
     """The ``k`` highest scores of every day among those at or above ``threshold``.
 
+    A score that is null, NaN or infinite raises no alert.
+
     Spark keeps the best ``k`` of each task's rows before the shuffle, so even a day that
     holds most rows reaches its window as a handful.
     """
     ranking = Window.partitionBy("day").orderBy(F.desc("p_fraud"), "txn_id")
     return (
-        scored.where(F.col("p_fraud") >= threshold)
+        scored.where(usable_score() & (F.col("p_fraud") >= threshold))
         .withColumn("day", F.to_date("ts"))
         .withColumn("rank", F.row_number().over(ranking))
         .where(F.col("rank") <= k)

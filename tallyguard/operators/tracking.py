@@ -33,7 +33,7 @@ METRICS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
         T.StructField("key", T.StringType()),
-        T.StructField("step", T.IntegerType()),
+        T.StructField("step", T.LongType()),
         T.StructField("value", T.DoubleType()),
         T.StructField("logged", T.TimestampType()),
     ]

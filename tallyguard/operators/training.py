@@ -19,9 +19,13 @@ from pyspark.sql import DataFrame, functions as F
 from tallyguard.functions import quoted
 from tallyguard.session import ensure_checkpoint_dir, materialize
 
-# The index of categories is built on the driver, so there may not be many of them.
+# The index of categories is built on the driver, so a category column may have at most
+# ``max_kinds`` values, counted exactly; this is the default of that parameter.
 MAX_KINDS = 1000
 
+# Parameters that the functions here set themselves.
+FIXED = ("featuresCol", "labelCol", "weightCol")
+
 NUMERIC = [
     "amount",
     "prev_amount",
@@ -106,13 +110,20 @@ def _training_rows(
     label: str,
     weight: str | None,
     key: str | None,
-) -> DataFrame:
-    """Only the columns the fit needs; with ``key``, in an order that never changes.
+    params: dict,
+    max_kinds: int,
+) -> tuple[DataFrame, int]:
+    """Only the columns the fit needs; with ``key``, in an order that never changes. And
+    how many values the category has.
 
     Sums of floats depend on the order of rows, so equal fits need equal partitions. The
     ordered rows are written, for the stages and the learner read them several times.
     """
-    columns = list(dict.fromkeys([*numeric, *filter(None, [category, key])]))
+    taken = [name for name in FIXED if name in params]
+    if taken:
+        raise ValueError(f"{', '.join(taken)} cannot be chosen; use label and weight")
+    named = [category, key, params.get("validationIndicatorCol")]
+    columns = list(dict.fromkeys([*numeric, *filter(None, named)]))
     rows = df.select(
         *[quoted(c) for c in columns],
         F.col(quoted(label)).cast("double").alias("_label"),
@@ -122,11 +133,12 @@ def _training_rows(
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.repartition(parts, quoted(key)).sortWithinPartitions(quoted(key))
         rows = materialize(rows, "training")
+    kinds = 0
     if category:
-        kinds = rows.agg(F.approx_count_distinct(quoted(category))).first()[0]
-        if kinds > MAX_KINDS:
-            raise ValueError(f"{category!r} has about {kinds} values, more than {MAX_KINDS}")
-    return rows
+        kinds = rows.select(quoted(category)).distinct().count()
+        if kinds > max_kinds:
+            raise ValueError(f"{category!r} has {kinds} values, more than {max_kinds}")
+    return rows, kinds
 
 
 def train_boosted(
@@ -136,6 +148,7 @@ def train_boosted(
     category: str | None = None,
     weight: str | None = None,
     key: str | None = None,
+    max_kinds: int = MAX_KINDS,
     **params,
 ) -> Trained:
     """Fit gradient-boosted trees. ``params`` are those of ``GBTClassifier``.
@@ -144,14 +157,16 @@ def train_boosted(
     The learner keeps its own compact copy of the features, spilling to disk.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    rows, kinds = _training_rows(df, numeric, category, label, weight, key, params, max_kinds)
+    # Trees need a bin for every category, and one for those unseen.
+    bins = max(32, kinds + 2)
     learner = GBTClassifier(
         featuresCol="features",
         labelCol="_label",
         weightCol="_weight",
-        **{"seed": 7, "checkpointInterval": 10, **params},
+        **{"seed": 7, "checkpointInterval": 10, "maxBins": bins, **params},
     )
     stages = feature_stages(numeric, category, one_hot=False, scale=False)
-    rows = _training_rows(df, numeric, category, label, weight, key)
     model = Pipeline(stages=[*stages, learner]).fit(rows)
     names = [*numeric, *([category] if category else [])]
     shares = model.stages[-1].featureImportances.toArray()
@@ -165,6 +180,7 @@ def train_logistic(
     category: str | None = None,
     weight: str | None = None,
     key: str | None = None,
+    max_kinds: int = MAX_KINDS,
     **params,
 ) -> Trained:
     """Fit logistic regression, on columns of any name.
@@ -172,6 +188,7 @@ def train_logistic(
     ``params`` are those of ``LogisticRegression``. As for trees, ``df`` should be a
     written table.
     """
+    rows, _ = _training_rows(df, numeric, category, label, weight, key, params, max_kinds)
     learner = LogisticRegression(
         featuresCol="features",
         labelCol="_label",
@@ -179,7 +196,6 @@ def train_logistic(
         standardization=False,
         **params,
     )
-    rows = _training_rows(df, numeric, category, label, weight, key)
     model = Pipeline(stages=[*feature_stages(numeric, category), learner]).fit(rows)
     fitted, scaler = model.stages[-1], _stage(model, "StandardScalerModel")
     names = list(numeric)

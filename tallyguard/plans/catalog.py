@@ -19,6 +19,7 @@ from tallyguard.operators import evaluation, history, quality, rename, scoring,
 from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.split import class_weights, split, with_part
 from tallyguard.plans.job import prepare, run_pipeline
+from tallyguard.schema import KOREAN
 from tallyguard.session import materialize, shared_folder
 from tallyguard.sources import load_transactions, parse_props, synth_columns, write_table
 from tallyguard.streaming import (
@@ -135,7 +136,7 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     kinds = built.select("txn_id", "channel", vector_to_array("features").alias("_element"))
     slots = {f"f_{name}": element[i] for i, name in enumerate(numeric)}
     # Which of the one-hot slots is set depends on the order of the categories.
-    kind = F.aggregate(F.slice(element, len(numeric) + 1, 100), F.lit(0.0), lambda a, x: a + x)
+    kind = F.aggregate(F.slice(element, len(numeric) + 1, F.size(element)), F.lit(0.0), lambda a, x: a + x)
     return _round_floats(
         kinds.select(
             "txn_id", "channel", *[c.alias(n) for n, c in slots.items()], kind.alias("f_kind")
@@ -148,35 +149,65 @@ def _trainable(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(history.plant_fraud(featured), "trainable")
 
 
-def boosted_importances(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = split(_trainable(spark, folder))
+def boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """The job's trees: rows of both parts, whether they rank well, and what they rely on."""
+    rows, held_out = split(_trainable(spark, folder))
     fitted = training.train_boosted(
-        rows, training.NUMERIC, category="channel", maxIter=5, maxDepth=3
+        rows, training.NUMERIC, category="channel", key="txn_id", maxIter=20, maxDepth=4
+    )
+    measured = evaluation.auc(scoring.score(fitted.model, held_out).select("is_fraud", "p_fraud"))
+    top = max(fitted.importances, key=fitted.importances.get)
+    return measured.select(
+        F.lit(rows.count()).alias("train_rows"),
+        (F.col("fraud") + F.col("honest")).alias("test_rows"),
+        (F.col("auc") >= 0.75).alias("ranks_well"),
+        F.lit(top).alias("top_feature"),
     )
-    found = list(fitted.importances.items())
-    return spark.createDataFrame(found, "feature string, importance double")
 
 
-def logistic_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+def logistic_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """At the optimum of a logistic regression the expected cases of every category are the
+    actual ones. Fitted on Korean columns, as in the job."""
     rows, _ = split(_trainable(spark, folder))
     korean = rename.korean_transactions(rows)
+    numeric = [KOREAN.get(name, name) for name in training.NUMERIC]
     fitted = training.train_logistic(
-        korean, ["거래금액", "직전금액", "경과초"], label="사기여부", category="거래유형", maxIter=30
+        korean,
+        numeric,
+        label=KOREAN["is_fraud"],
+        category=KOREAN["channel"],
+        key=KOREAN["txn_id"],
+        maxIter=500,
+        tol=1e-12,
+    )
+    scored = scoring.score(fitted.model, korean)
+    return scored.groupBy(F.col(quoted(KOREAN["channel"])).alias("channel")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("p_fraud")).cast("long").alias("expected_fraud")
     )
-    found = [*fitted.coefficients.items(), ("(절편)", fitted.intercept)]
-    return spark.createDataFrame(found, "feature string, coefficient double")
 
 
 def batch_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Train, save, load by path, score everything."""
+    """Train, save, load by path, score everything; the model and its expression agree."""
     everything = _trainable(spark, folder)
     rows, _ = split(everything)
     fitted = training.train_logistic(
-        rows, ["amount", "prev_amount"], category="channel", maxIter=30
+        rows, training.NUMERIC, category="channel", key="txn_id", maxIter=50
     )
     path = shared_folder(spark, "model")
     fitted.model.save(path)
-    return scoring.score(path, everything).select("txn_id", "is_fraud", "p_fraud")
+    by_model = scoring.score(path, everything).withColumnRenamed("p_fraud", "by_model")
+    both = scoring.score_logistic(by_model, fitted.coefficients, fitted.intercept, fitted.fill)
+    same = F.abs(F.col("p_fraud") - F.col("by_model")) < 1e-12
+    return both.groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def approximate_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report with sketches: the exact columns, and whether the sketch is within 10 %."""
+    txns = load_transactions(spark, folder)
+    sketched = quality.quality_report(txns, exact=False)
+    exact = quality.quality_report(txns).select("column", F.col("distinct").alias("_exact"))
+    near = F.abs(F.col("approx_distinct") - F.col("_exact")) <= 0.1 * F.col("_exact")
+    return sketched.join(exact, "column").withColumn("near", near).drop("approx_distinct", "_exact")
 
 
 # tracking
@@ -200,7 +231,7 @@ def _derived_runs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     metrics = txns.select(
         run_id.alias("run_id"),
         F.col("channel").alias("key"),
-        F.col("txn_id").cast("int").alias("step"),
+        (F.col("txn_id") + 3_000_000_000).alias("step"),
         F.col("amount").alias("value"),
         F.date_trunc("day", "ts").alias("logged"),
     )
@@ -284,8 +315,57 @@ def prepared_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prepare_train_score(spark: SparkSession, folder: str) -> DataFrame:
-    top = run_pipeline(spark, folder, shared_folder(spark, "fraud-job"), k=5)
-    return top.withColumn("day", F.col("day").cast("string"))
+    """The whole job: rows prepared, runs logged, models that raise alerts, most alerts of a day."""
+    out = shared_folder(spark, "fraud-job")
+    top = run_pipeline(spark, folder, out, k=5)
+    per_day = top.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.collect_set("model").alias("models"))
+    summary = per_day.agg(
+        (F.max("n") <= 5).alias("at_most_k"), F.size(F.array_distinct(F.flatten(F.collect_set("models")))).alias("models")
+    )
+    store = tracking.read_store(spark, f"{out}/runs")
+    return summary.select(
+        F.lit(spark.read.parquet(f"{out}/prepared").count()).alias("rows"),
+        F.lit(store["runs"].count()).alias("runs"),
+        "models",
+        "at_most_k",
+    )
+
+
+def fine_amounts(skew: Skew = Skew()) -> Query:
+    """Trailing sums of amounts with very many places."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        fine = load_transactions(spark, folder).withColumn("amount", F.col("amount") / 7)
+        made = history.velocity_features(fine, skew=skew)
+        return _round_floats(made.select("txn_id", *VELOCITY))
+
+    return query
+
+
+def korean_input(spark: SparkSession, folder: str) -> DataFrame:
+    """Account features of a table whose columns have Korean names."""
+    names = {"event_id": "거래번호", "ts": "거래일시", "user_id": "계좌번호", "event_type": "거래유형", "value": "거래 금액", "props": "속성"}
+    path = shared_folder(spark, "korean")
+    spark.read.parquet(f"{folder}/events.parquet").withColumnsRenamed(names).write.parquet(f"{path}/events.parquet")
+    made = history.account_features(load_transactions(spark, path, names=names))
+    return _round_floats(made.select("txn_id", *PREVIOUS, *VELOCITY, *HISTORY, *CALENDAR))
+
+
+def _with_gaps(df: DataFrame) -> DataFrame:
+    """Every tenth score is NaN."""
+    return df.withColumn("p_fraud", F.when(F.col("txn_id") % 10 == 0, float("nan")).otherwise(F.col("p_fraud")))
+
+
+def streamed_bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that lost their time or account do not stop the stream, nor count in it."""
+    source = read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH)
+    broken = source.withColumns(
+        {
+            "ts": F.when(F.col("txn_id") % 11 != 0, F.col("ts")),
+            "account_id": F.when(F.col("account_id") % 13 != 0, F.col("account_id")),
+        }
+    )
+    return _round_floats(_drain(prev_stream(broken), spark, "prev-bad").select("txn_id", *PREVIOUS))
 
 
 def _features(make: Callable[..., DataFrame], columns: list[str], **options) -> Query:
@@ -296,6 +376,11 @@ def _features(make: Callable[..., DataFrame], columns: list[str], **options) ->
     return query
 
 
+def _named_alerts(df: DataFrame) -> DataFrame:
+    day = F.col("day").cast("string").alias("day")
+    return scoring.alerts(df, 10, 0.2).select(day, "rank", "txn_id", "account_id", "p_fraud")
+
+
 def _on_scored(make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: _round_floats(make(scored_transactions(spark, folder)))
 
@@ -313,15 +398,16 @@ QUERIES: dict[str, Query] = {
     "synthesize": synthesized,
     "plant_fraud": _features(history.plant_fraud, ["is_fraud"]),
     "quality_report": lambda s, d: quality.quality_report(load_transactions(s, d)),
-    "quality_report_approx": lambda s, d: quality.quality_report(
-        load_transactions(s, d), exact=False
-    ),
+    "quality_report_approx": approximate_report,
     "clean_transactions": lambda s, d: quality.clean_transactions(load_transactions(s, d)),
     "clean_repeated_keys": deduplicated_lines,
     "parse_props": parsed_props,
     "prev_features": _features(history.prev_features, PREVIOUS),
     "prev_features_hot": _features(history.prev_features, PREVIOUS, skew=FORCED),
     "velocity_features": _features(history.velocity_features, VELOCITY),
+    "velocity_fine_amounts": fine_amounts(),
+    "velocity_fine_amounts_hot": fine_amounts(FORCED),
+    "korean_input": korean_input,
     "velocity_features_hot": _features(history.velocity_features, VELOCITY, skew=FORCED),
     "history_features": _features(history.history_features, HISTORY + CALENDAR),
     "history_features_hot": _features(history.history_features, HISTORY + CALENDAR, skew=FORCED),
@@ -335,13 +421,17 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "feature_vectors": feature_vectors,
-    "train_boosted": boosted_importances,
-    "train_logistic_korean": logistic_coefficients,
+    "train_boosted": boosted_trees,
+    "train_logistic_korean": logistic_balance,
     "confusion": _on_scored(lambda df: evaluation.confusion(df, 0.3)),
     "threshold_sweep": _on_scored(lambda df: evaluation.threshold_sweep(df, 50)),
     # Rounded scores tie often, and the same ones in every engine.
     "auc": _on_scored(lambda df: evaluation.auc(_rounded(df, "p_fraud", places=4))),
     "log_loss": _on_scored(evaluation.log_loss),
+    "confusion_gaps": _on_scored(lambda df: evaluation.confusion(_with_gaps(df), 0.3)),
+    "threshold_sweep_gaps": _on_scored(lambda df: evaluation.threshold_sweep(_with_gaps(df), 50)),
+    "auc_gaps": _on_scored(lambda df: evaluation.auc(_with_gaps(_rounded(df, "p_fraud", places=4)))),
+    "log_loss_gaps": _on_scored(lambda df: evaluation.log_loss(_with_gaps(df))),
     "log_runs": logged_runs,
     "runs_table": latest_run_metrics,
     "compare_runs": compared_runs,
@@ -350,12 +440,10 @@ QUERIES: dict[str, Query] = {
     "score_logistic": _on_scored(lambda df: df.select("txn_id", "is_fraud", "p_fraud")),
     "score_stream": streamed_scores,
     "prev_stream": streamed_previous,
+    "prev_stream_bad_rows": streamed_bad_rows,
     "velocity_stream": streamed_velocity,
-    "alerts": _on_scored(
-        lambda df: scoring.alerts(df, 10, 0.2).select(
-            F.col("day").cast("string").alias("day"), "rank", "txn_id", "account_id", "p_fraud"
-        )
-    ),
+    "alerts": _on_scored(lambda df: _named_alerts(df)),
+    "alerts_gaps": _on_scored(lambda df: _named_alerts(_with_gaps(df))),
     "prepare": prepared_table,
     "prepare_train_score": prepare_train_score,
 }

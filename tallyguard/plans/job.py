@@ -27,16 +27,18 @@ METRIC = "auc"
 def prepare(spark: SparkSession, folder: str, out: str, skew: Skew = Skew()) -> DataFrame:
     """Load, clean, add features and the planted label; write the table by day.
 
+    A later run into the same ``out`` replaces the days that it prepares and keeps others.
+
     Accounts are counted in the raw table, which reads one column of it. Only when some
     are hot, and several branches read the clean rows, are these written first.
     """
     raw = load_transactions(spark, folder)
     hot = hot_accounts(raw, skew)
     clean = clean_transactions(raw)
-    if hot.keys:
+    if hot.any:
         clean = materialize(clean, "clean")
     featured = account_features(clean, skew=skew, hot=hot)
-    return write_table(plant_fraud(featured), f"{out}/prepared")
+    return write_table(plant_fraud(featured), f"{out}/prepared", mode="overwrite")
 
 
 def _assess(scored: DataFrame) -> dict[str, float]:
@@ -65,7 +67,7 @@ def train(
     the store's path.
     """
     train_rows, test_rows = split(prepared)
-    columns = [*NUMERIC, "channel", "is_fraud", "class_weight"]
+    columns = ["txn_id", *NUMERIC, "channel", "is_fraud", "class_weight"]
     weighted = materialize(class_weights(train_rows).select(columns), "training")
     extent = prepared.agg(F.min("ts").alias("data_from"), F.max("ts").alias("data_to")).first()
     numeric = [KOREAN.get(name, name) for name in NUMERIC]
@@ -73,7 +75,7 @@ def train(
     def boosted_run() -> tuple[Trained, DataFrame, dict]:
         settings = {"maxIter": 20, "maxDepth": 4, **(boosted or {})}
         fitted = train_boosted(
-            weighted, NUMERIC, category="channel", weight="class_weight", **settings
+            weighted, NUMERIC, category="channel", weight="class_weight", key="txn_id", **settings
         )
         return fitted, score(fitted.model, test_rows), settings
 
@@ -85,6 +87,7 @@ def train(
             label=KOREAN["is_fraud"],
             category=KOREAN["channel"],
             weight="class_weight",
+            key=KOREAN["txn_id"],
             **settings,
         )
         scored = score(fitted.model, korean_transactions(test_rows))
@@ -115,7 +118,8 @@ def train(
 def score_best(spark: SparkSession, prepared: DataFrame, store: str, k: int = 10) -> DataFrame:
     """Score all transactions with the best run's model and return the alerts."""
     tables = read_store(spark, store)
-    best = best_run(tables["runs"], tables["metrics"], METRIC).first()
+    runs = tables["runs"].where(F.col("experiment") == EXPERIMENT)
+    best = best_run(runs, tables["metrics"], METRIC).first()
     names = tables["params"].where((F.col("run_id") == best.run_id) & (F.col("key") == "names"))
     columns = ["txn_id", "account_id", "ts", "amount", "channel", "is_fraud", "p_fraud"]
     if names.first().value == "ko":

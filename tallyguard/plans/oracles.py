@@ -71,6 +71,22 @@ _CALENDAR = """CAST(hour(ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTE
 
 _PREV_COLUMNS = "prev_amount, round(gap_seconds, 9) AS gap_seconds"
 
+# Exact sums: whole units and units of 2^-52, both as integers.
+_FINE = ", ".join(
+    f"count(*) OVER w_{s} AS n_{s}, {{total}} AS sum_{s}, round({{bare}} / n_{s}, 9) AS avg_{s}".format(
+        total=f"round(CAST(sum(u) OVER w_{s} AS DOUBLE) + CAST(sum(v) OVER w_{s} AS DOUBLE) / 4503599627370496.0, 9)",
+        bare=f"(CAST(sum(u) OVER w_{s} AS DOUBLE) + CAST(sum(v) OVER w_{s} AS DOUBLE) / 4503599627370496.0)",
+    )
+    for s in _SPANS
+)
+_FINE_QUERY = f"""{WITH_TXNS}, fine AS (
+  SELECT * REPLACE (amount / 7 AS amount) FROM txns),
+units AS (
+  SELECT *, CAST(round_even(amount, 0) AS HUGEINT) AS u,
+         CAST(round_even((amount - round_even(amount, 0)) * 4503599627370496.0, 0) AS HUGEINT) AS v
+  FROM fine)
+SELECT txn_id, {_FINE} FROM units WINDOW {_VELOCITY_WINDOWS}"""
+
 _PREV_QUERY = f"{WITH_PREV} SELECT txn_id, {_PREV_COLUMNS} FROM prev"
 _VELOCITY_QUERY = f"{WITH_TXNS} SELECT txn_id, {_VELOCITY} FROM txns WINDOW {_VELOCITY_WINDOWS}"
 _HISTORY_QUERY = f"{WITH_TXNS}, {HIST} SELECT txn_id, {_HISTORY}, {_CALENDAR} FROM hist"
@@ -161,9 +177,10 @@ SELECT tp, fp, tn, fn, round({_ratio("tp", "(tp + fp)")}, 9) AS "precision",
 FROM counts"""
 
 _SWEEP = f"""{WITH_SCORE}, binned AS (
-  SELECT least(CAST(floor(p_fraud * 50) AS BIGINT), 49) AS bin,
-         count(*) FILTER (is_fraud = 1) AS fraud, count(*) FILTER (is_fraud = 0) AS honest
-  FROM scored GROUP BY 1),
+  SELECT b.bin, count(*) FILTER (is_fraud = 1) AS fraud, count(*) FILTER (is_fraud = 0) AS honest
+  FROM (SELECT range AS bin FROM range(50)) b
+  LEFT JOIN scored ON p_fraud >= b.bin / 50.0 AND (p_fraud < (b.bin + 1) / 50.0 OR b.bin = 49)
+  GROUP BY 1),
 swept AS (
   SELECT bin, CAST(sum(fraud) OVER (ORDER BY bin DESC) AS BIGINT) AS tp,
          CAST(sum(honest) OVER (ORDER BY bin DESC) AS BIGINT) AS fp,
@@ -193,6 +210,15 @@ SELECT count(*) AS rows,
   round(avg((p_fraud - is_fraud) * (p_fraud - is_fraud)), 9) AS brier
 FROM scored"""
 
+# Every tenth score is NaN: no score.
+_WITH_GAPS = WITH_SCORE.replace("scored AS (", "every AS (") + """, scored AS (
+  SELECT * FROM every WHERE txn_id % 10 <> 0)"""
+_CONFUSION_GAPS = f"""{WITH_SCORE}, counts AS (
+  SELECT count(*) FILTER (p >= 0.3 AND is_fraud = 1) AS tp, count(*) FILTER (p >= 0.3 AND is_fraud = 0) AS fp,
+         count(*) FILTER (NOT p >= 0.3 AND is_fraud = 0) AS tn, count(*) FILTER (NOT p >= 0.3 AND is_fraud = 1) AS fn
+  FROM (SELECT is_fraud, CASE WHEN txn_id % 10 = 0 THEN -1 ELSE p_fraud END AS p FROM scored))
+{_CONFUSION[_CONFUSION.index("SELECT tp, fp, tn, fn"):]}"""
+
 _LOGGED = " UNION ALL ".join(
     f"""SELECT 'rule-{i}' AS run_id, 'rule' AS experiment,
   TIMESTAMP '2024-02-0{i} 00:00:00' AS started, '{threshold}' AS threshold,
@@ -289,6 +315,15 @@ FROM labelled JOIN sizes USING (is_fraud)""",
     "feature_vectors": _FEATURES,
     "confusion": _CONFUSION,
     "threshold_sweep": _SWEEP,
+    "confusion_gaps": _CONFUSION_GAPS,
+    "threshold_sweep_gaps": _SWEEP.replace(WITH_SCORE, _WITH_GAPS),
+    "log_loss_gaps": _LOG_LOSS.replace(WITH_SCORE, _WITH_GAPS),
+    "auc_gaps": _AUC.replace(WITH_SCORE, _WITH_GAPS),
+    "velocity_fine_amounts": _FINE_QUERY,
+    "velocity_fine_amounts_hot": _FINE_QUERY,
+    "prev_stream_bad_rows": _PREV_QUERY.replace(
+        "FROM events)", "FROM events WHERE event_id % 11 <> 0 AND user_id % 13 <> 0)"
+    ),
     "auc": _AUC,
     "log_loss": _LOG_LOSS,
     "log_runs": f"{WITH_SCORE} {_LOGGED}",
@@ -322,3 +357,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY date_trunc('day', ts)
         ORDER BY p_fraud DESC, txn_id) AS rn FROM scored WHERE p_fraud >= 0.2)
 WHERE rn <= 10""",
 }
+
+_PART = f"""{WITH_LABEL}, parts AS (
+  SELECT *, {_hash("'split:' || CAST(txn_id AS VARCHAR)")} % 10000 >= 8000 AS held_out FROM labelled)"""
+ORACLES |= {
+    "alerts_gaps": ORACLES["alerts"].replace("WHERE p_fraud >= 0.2", "WHERE p_fraud >= 0.2 AND txn_id % 10 <> 0"),
+    "korean_input": ORACLES["account_features"],
+    "train_boosted": f"""{_PART}
+SELECT CAST(count(*) FILTER (NOT held_out) AS INTEGER) AS train_rows, count(*) FILTER (held_out) AS test_rows,
+       true AS ranks_well, 'amount' AS top_feature FROM parts""",
+    "train_logistic_korean": f"""{_PART}
+SELECT channel, count(*) AS rows, CAST(sum(is_fraud) AS BIGINT) AS expected_fraud
+FROM parts WHERE NOT held_out GROUP BY channel""",
+    "batch_score": "SELECT true AS same, count(*) AS rows FROM events",
+    "prepare_train_score": """SELECT CAST(count(*) AS INTEGER) AS rows, 2 AS runs, 1 AS models, true AS at_most_k
+FROM events""",
+    "quality_report_approx": f"""SELECT * EXCLUDE ("distinct"), true AS near FROM ({ORACLES["quality_report"]})""",
+}

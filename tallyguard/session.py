@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,16 +38,13 @@ def require_utc(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new path in the cluster's checkpoint folder, reachable from every executor.
+    """A new path in the session's work folder ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Every executor must reach that folder, so none is made up where it is not set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallyguard-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

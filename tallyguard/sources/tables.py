@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyguard.functions import quoted
 from tallyguard.schema import EVENTS, check_schema
@@ -39,16 +39,27 @@ def canonical(events: DataFrame) -> DataFrame:
     )
 
 
-def load_transactions(spark: SparkSession, folder: str, table: str = "events") -> DataFrame:
+def load_transactions(
+    spark: SparkSession, folder: str, table: str = "events", names: dict[str, str] | None = None
+) -> DataFrame:
     """Read ``folder/table.parquet`` as transactions, after checking its schema.
 
+    ``names`` says under which names, in any script, the table keeps the columns of
+    ``EVENTS``: ``{"event_id": "거래번호", ...}``. Columns not named keep theirs.
+
     The read schema names ``ts`` as a timestamp outright: a cast of the column would keep
     time filters from reaching the scan.
     """
     require_utc(spark)
     path = f"{folder.rstrip('/')}/{table}.parquet"
-    check_schema(spark.read.parquet(path).schema, EVENTS)
-    return canonical(spark.read.schema(EVENTS).parquet(path))
+    unknown = set(names or {}) - set(EVENTS.names)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    own = {name: (names or {}).get(name, name) for name in EVENTS.names}
+    expected = T.StructType([T.StructField(own[f.name], f.dataType, f.nullable) for f in EVENTS])
+    check_schema(spark.read.parquet(path).schema, expected)
+    table_ = spark.read.schema(expected).parquet(path)
+    return canonical(table_.select([F.col(quoted(own[name])).alias(name) for name in own]))
 
 
 def write_table(
@@ -61,7 +72,9 @@ def write_table(
     """
     if by not in df.columns:
         df = df.withColumn(by, F.to_date(F.col(quoted(ts))))
-    df.hint("rebalance", quoted(by)).write.mode(mode).partitionBy(by).parquet(path)
+    # An overwrite replaces only the days that are written.
+    writer = df.hint("rebalance", quoted(by)).write.mode(mode).partitionBy(by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     columns = [field for field in df.schema if field.name != by] + [df.schema[by]]
     schema = type(df.schema)(columns)
     return df.sparkSession.read.schema(schema).parquet(path)

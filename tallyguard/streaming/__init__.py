@@ -1,12 +1,13 @@
 """The online path: the same transactions, features and scores on streams."""
 
-from tallyguard.streaming.features import KEYED_BATCH, prev_stream, velocity_stream
+from tallyguard.streaming.features import KEYED_BATCH, prev_stream, rejected_rows, velocity_stream
 from tallyguard.streaming.scoring import read_stream, run_to_parquet, score_stream
 
 __all__ = [
     "KEYED_BATCH",
     "prev_stream",
     "read_stream",
+    "rejected_rows",
     "run_to_parquet",
     "score_stream",
     "velocity_stream",

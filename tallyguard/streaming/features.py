@@ -61,9 +61,20 @@ class PreviousTransaction(StatefulProcessor):
         pass
 
 
+_COMPLETE = "account_id IS NOT NULL AND ts IS NOT NULL AND txn_id IS NOT NULL"
+
+
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """The rows that ``prev_stream`` does not take, for a sink of their own."""
+    return df.where(f"NOT ({_COMPLETE})")
+
+
 def prev_stream(df: DataFrame) -> DataFrame:
     """``prev_features`` on a stream: previous amount and gap, by keyed state.
 
+    Rows without account, time or id have no place in the order: they are left to
+    ``rejected_rows`` and do not stop the query.
+
     State is one row per account, on executor disk. Rows must arrive in time order from
     one micro-batch to the next, inside a batch any order will do. A row that arrives
     after a later one of its account gets nulls. An account's rows of one batch meet in
@@ -78,7 +89,8 @@ def prev_stream(df: DataFrame) -> DataFrame:
         ]
     )
     return (
-        df.withColumn("_us", F.unix_micros("ts"))
+        df.where(_COMPLETE)
+        .withColumn("_us", F.unix_micros("ts"))
         .groupBy("account_id")
         .transformWithStateInPandas(
             PreviousTransaction(schema.names), schema, outputMode="Append", timeMode="None"

@@ -13,7 +13,7 @@ MIDDLE = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         app="tests",
         master="local[4]",
@@ -22,6 +22,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.sql.maxMetadataStringLength": "10000",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

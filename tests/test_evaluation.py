@@ -83,8 +83,8 @@ def test_sweep_agrees_with_confusion(spark):
 
 def test_sweep_of_one_class(spark):
     lines = rows(threshold_sweep(make(spark, [(0, 0.2), (0, 0.7)]), 4), "bin")
-    assert [line["tpr"] for line in lines] == [None, None]
-    assert [line["fpr"] for line in lines] == [1.0, 0.5]
+    assert [line["tpr"] for line in lines] == [None] * 4
+    assert [line["fpr"] for line in lines] == [1.0, 0.5, 0.5, 0.0]
 
 
 def test_log_loss(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import assert_close, rows
 from tallyguard.operators import history
-from tallyguard.operators.hot import MAX_HOT, Skew, cut_into_chunks, hot_accounts
+from tallyguard.operators.hot import Skew, cut_into_chunks, hot_accounts
 from tallyguard.schema import TRANSACTIONS
 
 PLAIN = Skew(hot_rows=10**9)
@@ -99,10 +99,36 @@ def test_chunks_are_small_and_in_order(spark):
 def test_only_hot_accounts_are_cut(spark):
     busy = make(spark, 6)
     found = hot_accounts(busy, Skew(hot_rows=100))
-    assert found.keys == [1]
+    assert [r[0] for r in found.table.collect()] == [1]
     assert found.rows == busy.where("account_id = 1").count()
-    assert hot_accounts(busy, PLAIN).keys == []
-    assert MAX_HOT >= len(hot_accounts(busy, Skew(hot_rows=0)).keys) == 5
+    assert not hot_accounts(busy, PLAIN).any
+    assert hot_accounts(busy, Skew(hot_rows=0)).table.count() == 5
+
+
+def test_every_hot_account_is_cut(spark):
+    """There is no limit to their number."""
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    data = [(i, i % 1500, at + timedelta(minutes=i), float(i % 7), "card", 1) for i in range(6000)]
+    many = spark.createDataFrame(data, TRANSACTIONS)
+    found = hot_accounts(many, Skew(hot_rows=3))
+    assert found.table.count() == 1500 and found.rows == 6000
+    assert found.of(many, "left_anti").count() == 0
+    hot = history.account_features(many, skew=Skew(hot_rows=3, chunk_rows=500))
+    assert_close(rows(hot), rows(history.account_features(many, skew=PLAIN)))
+
+
+def test_fine_and_huge_amounts_are_summed(spark):
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    amounts = [4e-7, 0.1234567891, 1e19, float("nan"), 1e28, 2.5]
+    data = [(i, 1, at + timedelta(minutes=i), a, "card", 1) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(data, TRANSACTIONS)
+    for skew in (PLAIN, Skew(hot_rows=1, chunk_rows=2)):
+        made = {r.txn_id: r for r in history.account_features(df, skew=skew).collect()}
+        assert abs(made[0].sum_1h - 4e-7) < 1e-15 and abs(made[1].sum_1h - 0.1234571891) < 1e-15
+        assert made[2].sum_1h == 1e19 and [made[i].n_1h for i in range(6)] == [1, 2, 3, 3, 3, 4]
+        # What is no amount counts nowhere and has no score.
+        assert [made[i].hist_n for i in range(6)] == [0, 1, 2, 3, 3, 3]
+        assert made[3].z_amount is None and made[5].hist_mean == made[4].hist_mean
 
 
 def test_later_rows_do_not_change_earlier_features(spark, middle):

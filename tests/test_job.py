@@ -1,8 +1,10 @@
+import pytest
+
 from conftest import SMALL, assert_close, rows
 from tallyguard.operators.history import account_features
 from tallyguard.operators.hot import Skew
-from tallyguard.operators.tracking import best_run, read_store
-from tallyguard.plans.job import METRIC, prepare, run_pipeline
+from tallyguard.operators.tracking import Run, best_run, log_run, read_store
+from tallyguard.plans.job import EXPERIMENT, METRIC, prepare, run_pipeline, score_best
 from tallyguard.session import shared_folder
 
 
@@ -16,6 +18,15 @@ def test_three_steps(spark, tmp_path):
     assert {r["model"] for r in found} == {best.run_id.split("-")[0]}
     assert best[METRIC] > 0.6
     assert spark.read.parquet(f"{out}/prepared").count() == 1000
+    # A better run of another experiment is not ours.
+    log_run(spark, f"{out}/runs", Run("foreign-1", "other", model_path="/nowhere", metrics={METRIC: 0.999}))
+    prepared = spark.read.parquet(f"{out}/prepared")
+    again = rows(score_best(spark, prepared, f"{out}/runs", k=3), "day", "rank")
+    assert again == found
+    # The job runs into the same folder again: days are replaced, runs are added.
+    run_pipeline(spark, SMALL, out, k=3)
+    assert spark.read.parquet(f"{out}/prepared").count() == 1000
+    assert read_store(spark, f"{out}/runs")["runs"].where(f"experiment = '{EXPERIMENT}'").count() == 4
 
 
 def test_hot_accounts_do_not_change_the_table(spark, tmp_path):
@@ -30,6 +41,22 @@ def test_one_exchange_and_one_sort_for_all_windows(small):
 
 
 def test_shared_folder_is_the_session_s(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert shared_folder(spark, "x").startswith(root or "")
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark, "x").startswith(root)
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_no_work_folder_is_made_up(spark):
+    class Session:
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")

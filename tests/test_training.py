@@ -166,3 +166,24 @@ def test_too_many_categories_are_refused(parts):
     many = parts[0].withColumn("channel", F.col("txn_id").cast("string"))
     with pytest.raises(ValueError, match="more than 1000"):
         train_logistic(many, FEW, category="channel")
+
+
+def test_trees_take_many_categories(spark, parts):
+    """Bins follow the number of categories; a limit is the caller's to set."""
+    for kinds in (40, 1200):
+        wide = parts[0].withColumn("channel", (F.col("txn_id") % kinds).cast("string"))
+        fitted = train_boosted(wide, FEW, category="channel", max_kinds=2000, maxIter=1, maxDepth=2)
+        assert set(fitted.importances) == {*FEW, "channel"}
+
+
+def test_own_columns_cannot_be_chosen(parts):
+    with pytest.raises(ValueError, match="featuresCol"):
+        train_boosted(parts[0], FEW, featuresCol="x")
+    with pytest.raises(ValueError, match="labelCol"):
+        train_logistic(parts[0], FEW, labelCol="x")
+
+
+def test_early_stopping_sees_its_rows(parts):
+    marked = parts[0].withColumn("check", F.col("txn_id") % 5 == 0)
+    fitted = train_boosted(marked, FEW, validationIndicatorCol="check", maxIter=30, validationTol=0.5)
+    assert fitted.model.stages[-1].getNumTrees < 30

@@ -416,7 +416,8 @@ QUERIES: dict[str, Query] = {
     ),
     "train_test_split": lambda s, d: with_part(load_transactions(s, d)).select("txn_id", "part"),
     "class_weights": lambda s, d: _round_floats(
-        class_weights(history.plant_fraud(load_transactions(s, d))).select(
+        # Both the sizes and the rows are read from what is written here.
+        class_weights(materialize(history.plant_fraud(load_transactions(s, d)), "labelled")).select(
             "txn_id", "is_fraud", "class_weight"
         )
     ),

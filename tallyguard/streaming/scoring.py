@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard.operators.scoring import score
@@ -31,14 +31,22 @@ def read_stream(
 
 
 def run_to_parquet(
-    stream: DataFrame, sink: str, checkpoint: str, available_now: bool = True, **trigger: str
+    stream: DataFrame,
+    sink: str,
+    checkpoint: str,
+    available_now: bool = True,
+    by: str | None = None,
+    **trigger: str,
 ) -> StreamingQuery:
     """Start writing a stream into Parquet files, each row exactly once.
 
     The checkpoint holds what has been read and the sink's log which files count, so a
-    restart with the same two folders goes on where the last query stopped.
+    restart with the same two folders goes on where the last query stopped. With ``by`` the
+    files lie in a folder for each value of that column.
     """
     writer = stream.writeStream.format("parquet").outputMode("append")
+    if by:
+        writer = writer.partitionBy(by)
     when = trigger or ({"availableNow": True} if available_now else {"processingTime": "1 minute"})
     return writer.option("checkpointLocation", checkpoint).trigger(**when).start(sink)
 
@@ -48,6 +56,8 @@ def score_stream(
 ) -> StreamingQuery:
     """Score transactions as they land.
 
-    The model may use columns of the row itself, and those of ``prev_stream``.
+    The model may use columns of the row itself, and those of ``prev_stream``. The scores lie
+    in a folder for each ``day``, so that their readers can prune.
     """
-    return run_to_parquet(score(model, source), sink, checkpoint, **trigger)
+    scored = score(model, source).withColumn("day", F.to_date("ts"))
+    return run_to_parquet(scored, sink, checkpoint, by="day", **trigger)

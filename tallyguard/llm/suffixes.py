@@ -360,6 +360,9 @@ def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
     wanted = both.where(F.col("earlier") == passage.keep_first).groupBy("key", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("hits"))
     # A class of several documents is found elsewhere as a whole.
     ranges = classes.select("key", "ctx", "n", "first").join(wanted, ["key", "ctx"], "left").where("n > 1 OR hits IS NOT NULL")
+    # Written first, so that both sides of the next join come from plain exchanges, and a
+    # class that very many documents share can be split among tasks.
+    ranges = materialize(ranges, "ranges")
     near = table.join(ranges, ["key", "ctx"])
     whole = F.col("n") > 1
     if passage.keep_first:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyguard.llm import minhash, mixing, packing, quality, suffixes
 from tallyguard.llm.tokens import default_path
-from tallyguard.llm.work import materialize, read
+from tallyguard.llm.work import materialize, read, without
 
 # Shorter than any passage of 50 words of ordinary length.
 PASSAGE = suffixes.Passage(size=250, anchor=48, keep_first=True)
@@ -23,13 +23,13 @@ PASSAGE = suffixes.Passage(size=250, anchor=48, keep_first=True)
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     judged = quality.classified(docs, read(spark, sf_dir, "labels"))
-    return docs.join(judged.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return without(docs, judged.where("NOT kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     found = minhash.near_duplicates(docs)
-    kept = docs.join(found.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    kept = without(docs, found.where("NOT kept"))
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not repeated.limit(1).count():
         return kept

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 # The bytes 0x20 and 0x09 to 0x0D separate words.
 SPACE = np.zeros(256, dtype=bool)

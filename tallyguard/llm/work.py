@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyguard.session import materialize
 
-__all__ = ["materialize", "read", "tidy", "renamed_apart", "batched", "numbered", "ship_code", "spread"]
+__all__ = ["materialize", "read", "tidy", "renamed_apart", "batched", "numbered", "ship_code", "spread", "without"]
 
-# Rows of an Arrow batch that carry texts: with texts of 4 kB that is 4 MB.
-TEXT_ROWS = 1_000
+# Rows of an Arrow batch that carry texts: with texts of 4 kB that is 2 MB.
+TEXT_ROWS = 500
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -62,6 +62,21 @@ def spread(key: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
+# Ids up to this number, 16 MB as a hashed relation, go to every executor.
+FEW_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` is among ``ids``; rows without one stay.
+
+    A counted, small set of ids is broadcast, so that no text moves. A larger one is joined
+    by a shuffle.
+    """
+    ids = materialize(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
+    small = ids.count() <= FEW_IDS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(docs.columns)
+
+
 def numbered(df: DataFrame, *order: str, name: str = "no") -> DataFrame:
     """Number all rows from 0 in the given order, without bringing them into one task.
 

@@ -49,7 +49,7 @@ class Index:
     seed: int = 3
 
 
-_BITS = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+FEW = 16  # table entries that are probed one by one
 
 
 class Codes:
@@ -83,7 +83,7 @@ class Codes:
         scores[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
         near = np.argpartition(-scores, index.k - 1, axis=1)[:, : index.k]
         codes = self.encode(sample)
-        far = _BITS[codes[: len(queries), None, :] ^ codes[near]].sum(axis=2)
+        far = np.bitwise_count(codes[: len(queries), None, :] ^ codes[near]).sum(axis=2, dtype=np.int64)
         return int(np.quantile(far, index.hold, method="higher"))
 
 
@@ -102,12 +102,15 @@ class Tables:
         hit = np.zeros(len(self.codes), dtype=bool)
         values = np.arange(256, dtype=np.uint8)
         for j, byte in enumerate(code):
-            for value in values[_BITS[values ^ byte] <= share].tolist():
+            probed = np.bitwise_count(values ^ byte) <= share
+            if probed.sum() > FEW:
+                # So many entries that reading the byte of every row costs less.
+                hit |= probed[self.codes[:, j]]
+                continue
+            for value in np.flatnonzero(probed).tolist():
                 hit[self.order[self.starts[j, value] : self.starts[j, value + 1], j]] = True
-            if hit.all():
-                break
         rows = np.flatnonzero(hit)
-        return rows[_BITS[self.codes[rows] ^ code].sum(axis=1, dtype=np.int64) <= radius]
+        return rows[np.bitwise_count(self.codes[rows] ^ code).sum(axis=1, dtype=np.int64) <= radius]
 
 
 def usable(vectors: DataFrame) -> DataFrame:

@@ -16,8 +16,8 @@ from tallyguard.llm import minhash, mixing, packing, quality, suffixes
 from tallyguard.llm.tokens import default_path
 from tallyguard.llm.work import materialize, read, without
 
-# Shorter than any passage of 50 words of ordinary length.
-PASSAGE = suffixes.Passage(size=250, anchor=48, keep_first=True)
+# All passages of over 50 words, however short the words, and all of at least 250 bytes.
+PASSAGE = suffixes.Passage(size=250, anchor=48, keep_first=True, words=51)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

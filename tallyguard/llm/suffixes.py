@@ -20,6 +20,11 @@ place is out of reach, so suffixes meet only where they can match:
    windows by the bytes that they share, then single windows where a block is shared.
 5. Ranges go back to all documents of a class, and per document they are united.
 
+``Passage.words`` sets a minimum in words besides: wanted are then also all strings of that
+many whole words that start in more than one place. Those of ``size`` bytes and more are
+found already, since all their windows repeat. The shorter ones, few unless words are very
+short, are compared one by one by their hashes (128 bits).
+
 ``keep_first`` leaves the earliest occurrence, in the order of (doc_id, hash of the text,
 place), and takes all later ones; otherwise all occurrences count.
 
@@ -56,6 +61,7 @@ class Passage:
     keep_first: bool = False
     chunk: int = 1024
     hot: int = 512
+    words: int = 0
 
     @property
     def reach(self) -> int:
@@ -132,6 +138,44 @@ def segments(docs: DataFrame, passage: Passage) -> DataFrame:
     return docs.mapInArrow(run, _SEGMENT)
 
 
+def short_strings(data: np.ndarray, bounds: np.ndarray, passage: Passage) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of all strings of ``passage.words`` whole words that have less than ``size`` bytes."""
+    start, end, row = scan.words(data, bounds)
+    n = max(0, len(start) - passage.words + 1)
+    first, last = np.arange(n), np.arange(n) + passage.words - 1
+    at = np.flatnonzero((row[first] == row[last]) & (end[last] - start[first] < passage.size))
+    return row[at], start[at], end[at + passage.words - 1]
+
+
+def _short_spans(docs: DataFrame, passage: Passage) -> DataFrame:
+    """``doc_id, text_hash, a, b``: the repeated ones among the strings of ``short_strings``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, second = scan.Hasher(21), scan.Hasher(24)
+        for batch in batches:
+            data, bounds = scan.text_buffer(batch.column("text"))
+            for a, b in scan.slices(bounds):
+                part, at = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+                row, start, end = short_strings(part, at, passage)
+                if len(row):
+                    sums = hasher.sums(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(pa.array(row + a)), pa.array(_text_hash(hasher, sums, at)[row]),
+                         pa.array(hasher.of(sums, start, end).view(np.int64)), pa.array(second.of(second.sums(part), start, end).view(np.int64)),
+                         pa.array(start - at[row]), pa.array(end - at[row])],
+                        names=["doc_id", "text_hash", "k1", "k2", "a", "b"],
+                    )
+
+    table = materialize(docs.mapInArrow(run, "doc_id long, text_hash long, k1 long, k2 long, a long, b long"), "short")
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_hash", "a")
+    groups = table.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    # Written first, so that a string that very many documents share can be split among tasks.
+    near = table.join(materialize(groups, "shared"), ["k1", "k2"])
+    if passage.keep_first:
+        near = near.where(place != F.col("first"))
+    return near.select("doc_id", "text_hash", "a", "b")
+
+
 def suffix_ranks(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
     """Ranks of all strings of 8, 16, ... bytes and of ``size`` bytes by prefix doubling.
 
@@ -369,7 +413,8 @@ def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
         whole = whole & (place != F.col("first"))
     hits = F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))).otherwise(F.col("hits"))
     covered = near.select("doc_id", "text_hash", "low", F.explode(hits).alias("h"))
-    return covered.select("doc_id", "text_hash", (F.col("low") + F.col("h.a")).alias("a"), (F.col("low") + F.col("h.b") + (passage.size - 1)).alias("b"))
+    long_ = covered.select("doc_id", "text_hash", (F.col("low") + F.col("h.a")).alias("a"), (F.col("low") + F.col("h.b") + (passage.size - 1)).alias("b"))
+    return long_.unionByName(_short_spans(docs, passage)) if passage.words else long_
 
 
 def _united(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

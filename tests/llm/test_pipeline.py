@@ -56,6 +56,26 @@ def test_repeats_are_cut_and_the_first_stays(stages):
     assert (after.n_chars == after.text.str.len()).all()
 
 
+def test_passages_of_51_short_words_are_cut(spark):
+    rng = np.random.default_rng(51)
+    draw = lambda n: " ".join("".join(chr(c) for c in rng.integers(97, 123, rng.integers(1, 5))) for _ in range(n))
+    long_, short, unlike = draw(51), draw(50), [draw(30) for _ in range(8)]
+    assert max(len(short), len(long_)) < corpus_pipeline.PASSAGE.size
+    texts = [
+        f"{unlike[0]} Xa {long_} aX {unlike[1]}",
+        f"{unlike[2]} Yb {long_} bY {unlike[3]}",
+        f"{unlike[4]} Zc {short} cZ {unlike[5]}",
+        f"{unlike[6]} Wd {short} dW {unlike[7]} {long_}",
+    ]
+    docs = spark.createDataFrame([(7 + i, t) for i, t in enumerate([*texts, texts[0]])], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, SMALL).collect()}
+    whole = [texts[0], texts[1].replace(long_, ""), texts[2], texts[3].replace(long_, "")]
+    assert [left[7 + i] for i in range(4)] == whole and len(left[11]) < 10
+    apart = " ".join("a" * (1 + i % 2) for i in range(51))
+    ones = spark.createDataFrame([(None, apart), (1, f"b {apart} c"), (1, f"c {apart} b")], "doc_id long, text string")
+    assert sorted(r.text for r in corpus_pipeline.suffix_dedup(spark, ones, SMALL).collect()) == sorted([apart, "b  c", "c  b"])
+
+
 def test_the_mix_repeats_documents(stages):
     before, after = stages["entropy_mixing"]
     copies = after.doc_id.value_counts()

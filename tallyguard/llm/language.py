@@ -5,7 +5,9 @@ runs forwards and one backwards; from both states every position gets a label, a
 label probabilities of all positions are averaged into those of the document. The network
 is trained here, in numpy, by backpropagation through time with Adam, on a bounded sample:
 about ``Net.docs`` documents of each language, drawn by hashed id, and ``Net.windows``
-windows of each. Training and prediction use the text alone.
+windows of each. Training and prediction use the text alone. Every language found is learned;
+with more than 64 of them the documents of each are fewer, so that their sum stays bounded.
+More than ``Net.languages`` are refused by an error, since then ``lang`` hardly holds languages.
 
 Held out from training are documents with crc32(doc_id as text) mod 5 = 0.
 
@@ -38,7 +40,11 @@ class Net:
     batch: int = 256
     rate: float = 0.02
     seed: int = 5
-    languages: int = 64
+    languages: int = 1000
+
+
+# Up to this number of languages they share no memory: neither the sample nor what is worked on at once gets smaller.
+FULL = 64
 
 
 class BiGru:
@@ -55,6 +61,10 @@ class BiGru:
             self.weights[f"v{d}"] = rng.normal(0, 0.5 / np.sqrt(h), (k, h)).astype(np.float32)
         self.weights["c"] = np.zeros((k, 1), dtype=np.float32)
 
+    def at_once(self, size: int = 2048) -> int:
+        """Windows to work on at once: ``size``, or fewer if each needs room for many languages."""
+        return max(1, size * FULL // max(FULL, len(self.languages)))
+
     def _run(self, d: str, x: np.ndarray, valid: np.ndarray, keep: list | None) -> np.ndarray:
         """What one direction adds to the logits, (time, languages, windows)."""
         h, steps = self.net.hidden, len(x)
@@ -164,6 +174,7 @@ def windows_of(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.nda
 
 def document_sums(model: BiGru, data: np.ndarray, bounds: np.ndarray, size: int = 2048) -> np.ndarray:
     """Per row the label probabilities summed over its positions."""
+    size = model.at_once(size)
     x, length, row = windows_of(data, bounds, model.net.window)
     total = np.zeros((len(bounds) - 1, len(model.languages)))
     time = np.arange(model.net.window)[:, None, None]
@@ -180,12 +191,18 @@ def document_sums(model: BiGru, data: np.ndarray, bounds: np.ndarray, size: int
 
 
 def fit(docs: DataFrame, net: Net = Net()) -> BiGru | None:
-    """Learn from documents that are not held out and have a language; None if there are none."""
+    """Learn from documents that are not held out and have a language; None if there are none.
+
+    ValueError: there are more than ``net.languages`` languages.
+    """
     known = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL AND NOT held_out")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(net.languages).collect()
+    counts = known.groupBy("lang").count().limit(net.languages + 1).collect()
     if not counts:
         return None
-    share = F.create_map(*[F.lit(v) for row in counts for v in (row["lang"], min(1.0, net.docs / row["count"]))])
+    if len(counts) > net.languages:
+        raise ValueError(f"lang has more than {net.languages} values; raise Net.languages to learn them all")
+    each = net.docs * min(1.0, FULL / len(counts))
+    share = F.create_map(*[F.lit(v) for row in counts for v in (row["lang"], min(1.0, each / row["count"]))])
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(net.seed)), F.lit(1_000_000_007)) / 1_000_000_007.0
     starts = F.expr(f"transform(sequence(0, {net.windows - 1}), i -> cast(pmod(xxhash64(doc_id, i), greatest(1, length(text) - {net.window} + 1)) as int))")
     cut = F.transform(starts, lambda s: F.substring(F.col("text"), s + 1, F.lit(net.window)))
@@ -193,7 +210,7 @@ def fit(docs: DataFrame, net: Net = Net()) -> BiGru | None:
         known.where(drawn <= F.element_at(share, F.col("lang")))
         .select("doc_id", "lang", cut.alias("cuts"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "cuts")
-        .limit(2 * net.docs * len(counts))
+        .limit(2 * net.docs * min(FULL, len(counts)))
         .toPandas()
     )
     languages = sorted({row["lang"] for row in counts})
@@ -255,7 +272,10 @@ def position_labels(docs: DataFrame, model: BiGru) -> DataFrame:
                 part, at = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 x, length, _ = windows_of(part, at, model.net.window)
                 valid = np.arange(model.net.window)[:, None] < length[None, :]
-                label = model.probabilities(x, valid[:, None, :].astype(np.float32)).argmax(axis=1)
+                label, step = np.zeros(x.shape, dtype=np.int64), model.at_once()
+                for w in range(0, x.shape[1], step):
+                    cut = slice(w, w + step)
+                    label[:, cut] = model.probabilities(x[:, cut], valid[:, None, cut].astype(np.float32)).argmax(axis=1)
                 label = label.T[valid.T]
                 row = np.repeat(np.arange(b - a), np.diff(at))
                 new = np.ones(len(label), dtype=bool)

@@ -218,6 +218,23 @@ def test_language_of_held_out_documents(spark):
     assert result.score.between(0, 1).all()
 
 
+def test_languages_beyond_64_are_learned(spark):
+    # Every language has its own letter; the last six are rarer.
+    names = [f"l{n:02}" for n in range(70)]
+    letter = [chr(c) for c in range(33, 127) if chr(c).isalpha()] + [chr(c) for c in range(0x3B1, 0x3C3)]
+    own = dict(zip(names, letter))
+    rows = [(10 * i + n * 1000, f"{own[name] * 3} " * 20, name) for n, name in enumerate(names) for i in range(9 if n < 64 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(language._prepared(docs))
+    assert model.languages == names
+    found = language.languages(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    rare = found[found.lang >= "l64"]
+    assert (rare.lang == rare.lang_pred).mean() > 0.9 and (found.lang == found.lang_pred).mean() > 0.9
+    assert model.at_once() < 2048 and language.BiGru(["a"], language.Net()).at_once() == 2048
+    with pytest.raises(ValueError, match="more than 69"):
+        language.fit(language._prepared(docs), language.Net(languages=69))
+
+
 def test_every_position_has_a_label(spark, documents):
     model = language.BiGru(["a", "b"], language.Net(window=16))
     rows = language.position_labels(documents.limit(20), model).toPandas()

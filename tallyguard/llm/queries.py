@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyguard.llm import chat, grammar, language, minhash, mixing, neighbours, packing, quality, rules, suffixes
+from tallyguard.llm import chat, grammar, language, merkle, minhash, mixing, neighbours, oracles, packing, quality, rules, suffixes
 from tallyguard.llm.tokens import default_path
 from tallyguard.llm.work import read
 
@@ -52,6 +52,10 @@ def op10_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(read(spark, folder, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.checked_manifest(read(spark, folder, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -65,6 +69,7 @@ QUERIES = {
         op8_quality_rules,
         op9_token_grammar,
         op10_entropy_mixing,
+        op12_merkle_manifest,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -104,4 +109,4 @@ FROM sized GROUP BY conv_id
 """
 
 # The others learn, hash or tokenize; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op6_chat_formatting": _OP6}
+ORACLES: dict[str, str] = {"op6_chat_formatting": _OP6, "op12_merkle_manifest": oracles.MERKLE}

@@ -9,9 +9,10 @@ Each built level is written as rows ``node, up, before, after``: a node, its par
 digests of the siblings on either side in its run. A level is an eighth of the one below, so
 all of them together are a seventh of the leaves. The proof of a leaf is found by a recursive
 query over that table: each step looks up the node that a leaf has reached, appends its
-siblings, folds the leaf's digest with them and goes on to the parent. A step is one
-equi-join by node, whose rows grow with the leaves; nothing is collected, and no run has more
-than ``ARITY`` members, however many rows a language has. Numbering the leaves takes a sort by
+siblings, folds the leaf's digest with them and goes on to the parent. The leaves of a run
+have all their ancestors in common, so they climb in one row, with a digest for each. A step is
+one equi-join by node, whose rows grow with the leaves; nothing is collected, and no run has
+more than ``ARITY`` members, however many rows a language has. Numbering the leaves takes a sort by
 range and one count per part.
 
 Digests are lowercase hex where they are hashed or returned and 32 bytes where they are kept.
@@ -74,40 +75,43 @@ def _joined(members: Column) -> Column:
     return F.aggregate(members, F.lit(b""), lambda done, m: F.concat(done, m["digest"]))
 
 
-def _linked(runs: DataFrame, up: Column, *extra: str) -> DataFrame:
-    """The members of the runs as rows ``node, up, before, after``, with more of their columns."""
-    size = F.size("members")
-    rows = F.transform(
-        F.col("members"),
-        lambda m, i: F.struct(
-            *[m[c].alias(c) for c in ("node", *extra)],
-            _joined(F.slice("members", F.lit(1), i)).alias("before"),
-            _joined(F.slice("members", i + 2, F.greatest(size - i - 1, F.lit(0)))).alias("after"),
-        ),
-    )
-    return runs.select("tree", up.alias("up"), F.inline(rows)).select("node", "up", "before", "after", *(["tree", *extra] if extra else []))
+def _beside(members: Column, i: Column) -> tuple[Column, Column]:
+    """The digests before and after the member at place ``i`` of a run, joined."""
+    after = F.greatest(F.size(members) - i - 1, F.lit(0))
+    return _joined(F.slice(members, F.lit(1), i)), _joined(F.slice(members, i + 2, after))
+
+
+def _linked(runs: DataFrame, up: Column) -> DataFrame:
+    """The members of the runs as rows ``node, up, before, after``."""
+
+    def row(m: Column, i: Column) -> Column:
+        before, after = _beside(F.col("members"), i)
+        return F.struct(m["node"].alias("node"), before.alias("before"), after.alias("after"))
+
+    return runs.select(up.alias("up"), F.inline(F.transform("members", row))).select("node", "up", "before", "after")
+
 
+def _above(runs: DataFrame, up: Column) -> DataFrame:
+    """The nodes that the runs are hashed into."""
+    digest = F.unhex(F.sha2(_text(_joined(F.col("members"))), 256))
+    return runs.select("tree", F.col("run").alias("place"), F.ceil(F.col("rows") / ARITY).alias("rows"), up.alias("node"), digest.alias("digest"))
 
-def _built(level: DataFrame, rows: int) -> tuple[list[DataFrame], list[DataFrame]]:
+
+def _built(level: DataFrame, rows: int, depth: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """Hash the trees of ``level`` up to their tops: linked rows of every level, and the tops.
 
-    ``rows`` is the number of nodes of the largest tree; smaller ones end earlier. Further
-    columns of ``level`` are handed on with the rows of the lowest level.
+    ``rows`` is the number of nodes of the largest tree; smaller ones end earlier. ``depth``
+    numbers the level.
     """
-    columns = ["tree", "place", "rows", "node", "digest"]
-    extra = [c for c in level.columns if c not in columns]
-    links, tops, depth = [], [], 0
+    links, tops = [], []
     while rows > 1:
-        tops.append(level.where("rows = 1").select(columns))
+        tops.append(level.where("rows = 1"))
         runs = materialize(_runs(level.where("rows > 1")), "runs")
-        depth += 1
+        depth, rows = depth + 1, -(-rows // ARITY)
         up = _number(F.col("tree"), depth, F.col("run"))
-        links.append(_linked(runs, up, *(() if depth > 1 else extra)))
-        digest = F.unhex(F.sha2(_text(_joined(F.col("members"))), 256))
-        above = F.ceil(F.col("rows") / ARITY)
-        level = runs.select("tree", F.col("run").alias("place"), above.alias("rows"), up.alias("node"), digest.alias("digest"))
-        rows = -(-rows // ARITY)
-    return links, [*tops, level.where("rows = 1").select(columns)]
+        links.append(_linked(runs, up))
+        level = _above(runs, up)
+    return links, [*tops, level.where("rows = 1")]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -117,17 +121,16 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-# A leaf of a run starts at its parent, a lone one at itself; a step folds it into the next.
-_CLIMB = f"""
-WITH RECURSIVE climb(tree, doc_id, leaf, node, folded, siblings) AS (
-  SELECT tree, doc_id, leaf, node, folded, siblings FROM {{leaves}}
+# The leaves of a run start at its node; a step folds each of them into the next node.
+_CLIMB = """
+WITH RECURSIVE climb(start, node, folded, siblings) AS (
+  SELECT node, node, folded, CAST('' AS BINARY) FROM {leaves}
   UNION ALL
-  SELECT c.tree, c.doc_id, c.leaf, n.up,
-         unhex(sha2(concat(lower(hex(n.before)), lower(hex(c.folded)), lower(hex(n.after))), 256)),
+  SELECT c.start, n.up,
+         transform(c.folded, f -> unhex(sha2(concat(lower(hex(n.before)), lower(hex(f)), lower(hex(n.after))), 256))),
          concat(c.siblings, n.before, n.after)
-  FROM climb c JOIN {{nodes}} n ON c.node = n.node)
-SELECT tree, doc_id, leaf, sha2(lower(hex(siblings)), 256) AS proof_sha256, lower(hex(folded)) AS folded_root
-FROM climb WHERE node = {{root}}
+  FROM climb c JOIN {nodes} n ON c.node = n.node)
+SELECT start, folded, siblings FROM climb WHERE node = {root}
 """
 
 
@@ -151,38 +154,52 @@ def manifest(docs: DataFrame, tampered: Column | None = None, altered: Column |
         raise ValueError(f"{count} trees of up to {largest} leaves are more than nodes are numbered for")
     placed = leaves.join(trees.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")))
     placed = placed.withColumn("place", F.col("no") - F.col("first"))
-    placed = materialize(
-        placed.select("doc_id", "leaf", F.coalesce("changed", "leaf").alias("altered"), "tree", "place", "rows",
-                      _number(F.col("tree"), 0, F.col("place")).alias("node")),
-        "placed",
-    )
-    links, tops = _built(placed.withColumn("digest", F.col("leaf")), largest)
+    placed = placed.select("doc_id", F.coalesce("changed", "leaf").alias("altered"), "tree", "place", "rows",
+                           F.lit(None).cast("long").alias("node"), F.col("leaf").alias("digest"))
+    runs = materialize(_runs(placed), "runs")
+    alone = F.col("rows") == 1  # such a leaf is the top of its tree
+
+    def fold(m: Column, i: Column) -> Column:
+        before, after = _beside(F.col("members"), i)
+        return F.when(alone, m["altered"]).otherwise(_hashed(before, m["altered"], after))
+
+    node = F.when(alone, _number(F.col("tree"), 0, F.col("run"))).otherwise(_number(F.col("tree"), 1, F.col("run")))
+    start = runs.select(node.alias("node"), F.transform("members", fold).alias("folded"))
+    first = _above(runs.where(~alone), node).unionByName(
+        runs.where(alone).select("tree", F.col("run").alias("place"), "rows", node.alias("node"), F.col("members")[0]["digest"].alias("digest"))
+    )
+    links, tops = _built(first, -(-largest // ARITY), 1)
     subroots = materialize(_union(tops).select("tree", "node", "digest"), "subroots")
     joined = subroots.select(
         F.lit(ROOT_TREE).cast("long").alias("tree"), (F.col("tree") - (ROOT_TREE + 1)).alias("place"),
         F.lit(count).cast("long").alias("rows"), "node", "digest",
     )
-    higher, top = _built(joined, count)
+    higher, top = _built(joined, count, 0)
     root = _union(top).select("node", "digest").first()
-    start = placed.where("rows = 1").select("tree", "doc_id", "leaf", "node", F.col("altered").alias("folded"), F.lit(b"").alias("siblings"))
-    nodes = start.select("node", F.col("node").alias("up"), F.col("leaf").alias("before"), F.col("leaf").alias("after")).where("false")
-    nodes = materialize(_union([nodes, *links[1:], *higher]), "nodes")
-    if links:
-        folded, beside = _hashed(F.col("before"), F.col("altered"), F.col("after")), F.concat("before", "after")
-        start = start.unionByName(links[0].select("tree", "doc_id", "leaf", F.col("up").alias("node"), folded.alias("folded"), beside.alias("siblings")))
+    none = subroots.select("node", F.col("node").alias("up"), F.col("digest").alias("before"), F.col("digest").alias("after")).where("false")
+    nodes = materialize(_union([none, *links, *higher]), "nodes")
     bound = spark.conf.get(_ROW_LIMIT)
-    spark.conf.set(_ROW_LIMIT, "-1")  # one row per leaf and level
+    spark.conf.set(_ROW_LIMIT, "-1")  # one row per run of leaves and level
     try:
         climbed = spark.sql(_CLIMB.replace("{root}", str(root.node if root else -1)), leaves=start, nodes=nodes)
         climbed = materialize(climbed, "climbed")
     finally:
         spark.conf.set(_ROW_LIMIT, bound)
-    tops_ = subroots.select("tree", _text(F.col("digest")).alias("subroot"))
+
     whole = _text(F.lit(bytes(root.digest)) if root else F.lit(None).cast("binary"))
-    return climbed.join(tops_, "tree").select(
-        "doc_id", _text(F.col("leaf")).alias("leaf"), "subroot", whole.alias("root"), "proof_sha256", "folded_root",
-        (F.col("folded_root") == whole).alias("verified"),
-    )
+
+    def proven(m: Column, i: Column) -> Column:
+        before, after = _beside(F.col("members"), i)
+        beside = F.when(alone, F.lit("")).otherwise(F.concat(_text(before), _text(after)))
+        return F.struct(
+            m["doc_id"].alias("doc_id"), _text(m["digest"]).alias("leaf"), F.sha2(F.concat(beside, _text(F.col("siblings"))), 256).alias("proof_sha256"),
+            _text(F.get("folded", i)).alias("folded_root"),
+        )
+
+    known = runs.select("tree", "rows", "members", node.alias("start")).join(climbed, "start")
+    known = known.join(subroots.select("tree", _text(F.col("digest")).alias("subroot")), "tree")
+    leaves_ = known.select("subroot", F.inline(F.transform("members", proven)))
+    return leaves_.select("doc_id", "leaf", "subroot", whole.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == whole).alias("verified"))
 
 
 def checked_manifest(docs: DataFrame) -> DataFrame:

@@ -56,3 +56,30 @@ SELECT c.doc_id, c.leaf, s.digest AS subroot, r.digest AS root, sha256(c.sibling
 FROM climb c JOIN (SELECT level, digest FROM higher WHERE n = 1) r ON c.tree = 0 AND c.level = r.level
 JOIN subroots s ON s.tree = c.home
 """
+
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+sequences AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+grams AS (SELECT lang, w[i:i + k - 1] AS words FROM sequences, range(1, 5) AS sizes(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, words, count(*) AS n FROM grams GROUP BY lang, words),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+candidates AS (SELECT lang, words, n AS a FROM f WHERE len(words) > 1 AND n >= 30),
+cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.words, c.a, c.k, h.n AS l, t.n AS r, ((2000000::HUGEINT * c.a) // (h.n::HUGEINT + t.n))::BIGINT AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.words = c.words[1:c.k] JOIN f t ON t.lang = c.lang AND t.words = c.words[c.k + 1:]),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT DISTINCT c.lang, c.words[i:i + k - 1] AS words, c.a AS around
+  FROM candidates c, range(2, 4) AS sizes(k), range(1, 5) AS starts(i) WHERE k < len(c.words) AND i + k - 1 <= len(c.words)),
+covered AS (SELECT DISTINCT i.lang, i.words FROM inner_ i JOIN candidates c USING (lang, words) WHERE 100::HUGEINT * i.around >= 80::HUGEINT * c.a),
+ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+  FROM worst w WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = w.lang AND c.words = w.words))
+SELECT ranked.lang, rank, phrase, a, l, r, totals.n AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyguard.llm import chat, grammar, language, merkle, minhash, mixing, neighbours, oracles, packing, quality, rules, suffixes
+from tallyguard.llm import (
+    chat, collocations, grammar, language, merkle, minhash, mixing, neighbours, oracles, packing, quality, rules, secret_scan, suffixes,
+)
 from tallyguard.llm.tokens import default_path
 from tallyguard.llm.work import read
 
@@ -52,10 +54,18 @@ def op10_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(read(spark, folder, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(read(spark, folder, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.checked_manifest(read(spark, folder, "documents"))
 
 
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(read(spark, folder, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -69,7 +79,9 @@ QUERIES = {
         op8_quality_rules,
         op9_token_grammar,
         op10_entropy_mixing,
+        op11_phrase_collocations,
         op12_merkle_manifest,
+        op13_secret_scan,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
@@ -109,4 +121,4 @@ FROM sized GROUP BY conv_id
 """
 
 # The others learn, hash or tokenize; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op6_chat_formatting": _OP6, "op12_merkle_manifest": oracles.MERKLE}
+ORACLES: dict[str, str] = {"op6_chat_formatting": _OP6, "op11_phrase_collocations": oracles.COLLOCATIONS, "op12_merkle_manifest": oracles.MERKLE}

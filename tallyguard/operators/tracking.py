@@ -1,12 +1,15 @@
 """Runs, parameters and metrics in append-only Parquet tables.
 
-Parquet has no transaction across tables, so a run's parameters and metrics are written
-before the run itself, and readers start from the runs: a run that died half-way is not
-seen.
+Parquet has no transaction across tables, so logging a run is an attempt with an id of its own:
+parameters and metrics are written first, then the row in ``runs``, a single file, which commits
+the attempt. Readers start from the commits and take one attempt of every run, the first
+committed. An attempt that died half-way is therefore not seen, and a run that a retry logs
+again is still one run.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -40,6 +43,10 @@ METRICS = T.StructType(
 )
 TABLES = {"runs": RUNS, "params": PARAMS, "metrics": METRICS}
 
+# What the tables hold besides; rows from before attempts were told apart have null.
+ATTEMPT = T.StructField("attempt", T.StringType())
+COMMITTED = T.StructField("committed", T.TimestampType())
+
 
 @dataclass
 class Run:
@@ -55,8 +62,8 @@ class Run:
     started: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
 
-def log_run(spark: SparkSession, store: str, run: Run) -> None:
-    """Append a run to the store."""
+def _rows(spark: SparkSession, run: Run, attempt: str) -> dict[str, DataFrame]:
+    """The rows of an attempt, in the order in which they must be written."""
     texts = T.MapType(T.StringType(), T.StringType())
     with_map = T.StructType([RUNS["run_id"], T.StructField("params", texts)])
     params = {key: str(value) for key, value in run.params.items()}
@@ -75,15 +82,34 @@ def log_run(spark: SparkSession, store: str, run: Run) -> None:
         "runs": spark.createDataFrame(
             [(run.run_id, run.experiment, run.started, run.model_path, run.data_from, run.data_to)],
             RUNS,
-        ),
+        ).withColumn("committed", F.lit(datetime.now(timezone.utc))),
     }
-    for table, df in rows.items():
+    return {table: df.withColumn("attempt", F.lit(attempt)) for table, df in rows.items()}
+
+
+def log_run(spark: SparkSession, store: str, run: Run) -> None:
+    """Append a run to the store. Logging a ``run_id`` again changes nothing for readers."""
+    for table, df in _rows(spark, run, uuid.uuid4().hex).items():
         df.coalesce(1).write.mode("append").parquet(f"{store}/{table}")
 
 
 def read_store(spark: SparkSession, store: str) -> dict[str, DataFrame]:
-    """The three tables of a store."""
-    return {t: spark.read.schema(s).parquet(f"{store}/{t}") for t, s in TABLES.items()}
+    """The three tables of a store: of every run the attempt that was committed first."""
+
+    def read(table: str, *more: T.StructField) -> DataFrame:
+        return spark.read.schema(T.StructType([*TABLES[table].fields, *more])).parquet(f"{store}/{table}")
+
+    order = F.struct(F.coalesce("committed", F.lit(0).cast("timestamp")), F.coalesce("attempt", F.lit("")))
+    everything = F.struct(*[f.name for f in RUNS], "attempt")
+    runs = read("runs", ATTEMPT, COMMITTED).groupBy("run_id").agg(F.min_by(everything, order).alias("_run")).select("_run.*")
+    chosen = runs.select(F.col("run_id").alias("_id"), F.col("attempt").alias("_attempt"))
+
+    def of_chosen(table: str) -> DataFrame:
+        rows = read(table, ATTEMPT)
+        same = (F.col("run_id") == F.col("_id")) & F.col("attempt").eqNullSafe(F.col("_attempt"))
+        return rows.join(chosen, same, "left_semi").drop("attempt")
+
+    return {"runs": runs.drop("attempt"), "params": of_chosen("params"), "metrics": of_chosen("metrics")}
 
 
 def latest_metrics(metrics: DataFrame) -> DataFrame:

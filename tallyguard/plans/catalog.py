@@ -15,15 +15,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyguard.functions import quoted
-from tallyguard.operators import evaluation, history, quality, rename, scoring, tracking, training
+from tallyguard.operators import boosting, evaluation, history, quality, rename, scoring, tracking, training
 from tallyguard.operators.hot import Skew, hot_accounts
 from tallyguard.operators.split import class_weights, split, with_part
-from tallyguard.plans.job import prepare, run_pipeline
+from tallyguard.plans.job import find_best, prepare, run_pipeline, score_stream_best, train
 from tallyguard.schema import KOREAN
 from tallyguard.session import materialize, shared_folder
 from tallyguard.sources import load_transactions, parse_props, synth_columns, write_table
 from tallyguard.streaming import (
     KEYED_BATCH,
+    account_stream,
     prev_stream,
     read_stream,
     run_to_parquet,
@@ -40,6 +41,12 @@ FORCED = Skew(hot_rows=60, chunk_rows=2000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PREVIOUS = ["prev_amount", "gap_seconds"]
+VELOCITY = [f"{what}_{span}" for what in ("n", "sum", "avg") for span in history.SPANS]
+HISTORY = ["hist_n", "hist_mean", "hist_sd", "z_amount"]
+CALENDAR = ["hour", "weekday", "is_night"]
+ACCOUNT = [*PREVIOUS, *VELOCITY, *HISTORY, *CALENDAR]
+
 
 def _rounded(df: DataFrame, *names: str, places: int = 9) -> DataFrame:
     return df.withColumns({name: F.round(F.col(quoted(name)), places) for name in names})
@@ -165,6 +172,52 @@ def boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Bins of the numbers, so that every split can be searched for in SQL.
+EDGES = {
+    "amount": [5.0, 10.0, 20.0, 40.0, 60.0, 80.0, 120.0, 160.0, 240.0],
+    "prev_amount": [10.0, 25.0, 50.0, 100.0, 200.0],
+    "gap_seconds": [600.0, 3600.0, 14400.0, 43200.0],
+}
+
+
+def boosted_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The first second-order tree over all transactions, node by node: sums, splits and leaves."""
+    known = history.plant_fraud(history.prev_features(load_transactions(spark, folder)))
+    rows = materialize(known.select("is_fraud", *EDGES), "labelled")
+    settings = boosting.Boosting(trees=1, depth=2)
+    model = boosting.train_boosted2(rows, list(EDGES), settings=settings, edges=list(EDGES.values()))
+    tree = model.trees[0]
+    places = {0: "root"}
+    for at, node in enumerate(tree):
+        if node.feature is not None:
+            places[node.left], places[node.right] = f"{places[at]}-l", f"{places[at]}-r"
+    found = [
+        (places[at], None if n.feature is None else model.features[n.feature], n.below, None if n.feature is None else n.missing_left,
+         None if n.feature is None else n.gain, n.gradient, n.hessian, n.value if n.feature is None else None)
+        for at, n in enumerate(tree)
+    ]
+    schema = "node string, feature string, below double, missing_left boolean, gain double, gradient double, hessian double, value double"
+    return _rounded(spark.createDataFrame(found, schema), "gain", "gradient", "hessian", "value", places=6)
+
+
+def boosted_trees2(spark: SparkSession, folder: str) -> DataFrame:
+    """Second-order trees with the job's features: do they rank well, and by what?"""
+    rows, held_out = split(_trainable(spark, folder))
+    model = boosting.train_boosted2(rows, training.NUMERIC, category="channel", settings=boosting.Boosting(trees=12))
+    scored = materialize(boosting.score_boosted(model, held_out).select("is_fraud", "p_fraud"), "scored")
+    measured = evaluation.auc(scored)
+    top = max(model.importances, key=model.importances.get)
+    # Trees of logistic loss keep the mean score of the rows near the share of fraud.
+    mean = scored.agg((F.abs(F.avg("p_fraud") - F.avg("is_fraud")) < 0.02).alias("calibrated"))
+    return measured.crossJoin(mean).select(  # one row each
+        F.lit(rows.count()).alias("train_rows"),
+        (F.col("fraud") + F.col("honest")).alias("test_rows"),
+        (F.col("auc") >= 0.75).alias("ranks_well"),
+        "calibrated",
+        F.lit(top).alias("top_feature"),
+    )
+
+
 def logistic_balance(spark: SparkSession, folder: str) -> DataFrame:
     """At the optimum of a logistic regression the expected cases of every category are the
     actual ones. Fitted on Korean columns, as in the job."""
@@ -278,6 +331,32 @@ def logged_runs(spark: SparkSession, folder: str) -> DataFrame:
     return _round_floats(wide.select(columns))
 
 
+def runs_logged_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of ``log_runs``, each logged again, and beside them an attempt that died half-way."""
+    scored = materialize(scored_transactions(spark, folder).select("is_fraud", "p_fraud"), "scored")
+    store = shared_folder(spark, "store")
+    for number, threshold in enumerate([0.1, 0.3, 0.5], start=1):
+        measured = evaluation.confusion(scored, threshold).first()
+        run = tracking.Run(
+            run_id=f"rule-{number}",
+            experiment="rule",
+            params={"threshold": threshold},
+            metrics={"recall": measured.recall, "flagged": [0, measured.tp + measured.fp]},
+            started=datetime(2024, 2, number, tzinfo=timezone.utc),
+        )
+        half = tracking._rows(spark, run, "died")
+        half["params"].write.mode("append").parquet(f"{store}/params")
+        for _ in range(2):
+            tracking.log_run(spark, store, run)
+    tables = tracking.read_store(spark, store)
+    wide = tracking.compare_runs(
+        tables["runs"], tables["params"], tables["metrics"], ["recall", "flagged"], ["threshold"]
+    )
+    rows = tables["params"].groupBy("run_id").agg(F.count("*").alias("param_rows"))
+    columns = ["run_id", "experiment", "started", "threshold", "recall", "flagged", "param_rows"]
+    return _round_floats(wide.join(rows, "run_id").select(columns))
+
+
 # streams
 
 
@@ -302,6 +381,43 @@ def streamed_previous(spark: SparkSession, folder: str) -> DataFrame:
     return _round_floats(_drain(stream, spark, "prev").select("txn_id", *PREVIOUS))
 
 
+def streamed_account(spark: SparkSession, folder: str) -> DataFrame:
+    """All features of an account, of the transactions that the watermark has passed."""
+    stream = account_stream(read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH))
+    return _round_floats(_drain(stream, spark, "account").select("txn_id", *ACCOUNT, "late"))
+
+
+def streamed_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from files whose rows are out of order by up to two days."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    path = f"{shared_folder(spark, 'shuffled')}/events"
+    moved = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(2 * 86400))
+    jittered = materialize(events.withColumn("_moved", moved), "jittered")
+    cuts = [c for c in jittered.approxQuantile("_moved", [0.2, 0.4, 0.6, 0.8], 0.001)]
+    for low, high in zip([float("-inf"), *cuts], [*cuts, float("inf")]):
+        part = jittered.where((F.col("_moved") >= low) & (F.col("_moved") < high)).drop("_moved")
+        part.write.mode("append").parquet(path)
+    # A micro-batch for about every slice, in the order in which they were written.
+    files = len(spark.read.parquet(path).inputFiles())
+    source = read_stream(spark, path, maxFilesPerTrigger=str(max(1, files // 5)))
+    return _round_floats(_drain(account_stream(source, "2 days"), spark, "account").select("txn_id", *ACCOUNT, "late"))
+
+
+def streamed_best(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions scored on a stream by the best run's model, against the same model's batch scores."""
+    out = shared_folder(spark, "stream-job")
+    prepared = prepare(spark, folder, out)
+    store = train(spark, prepared, out, logistic={"maxIter": 20}, boosted2={"trees": 6}, learners=("logistic", "boosted2"))
+    source = read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH)
+    score_stream_best(spark, source, store, f"{out}/scores", f"{out}/log").awaitTermination()
+    found = spark.read.parquet(f"{out}/scores").select("day", "txn_id", F.col("p_fraud").alias("streamed"))
+    batch = find_best(spark, store).score(spark, prepared).select("txn_id", "p_fraud")
+    same = F.abs(F.col("p_fraud") - F.col("streamed")) < 1e-9
+    return found.join(batch, "txn_id", "left").groupBy(F.col("day").cast("string").alias("day")).agg(
+        F.count("*").alias("rows"), F.sum(same.cast("long")).alias("equal_to_batch")
+    )
+
+
 def streamed_velocity(spark: SparkSession, folder: str) -> DataFrame:
     stream = velocity_stream(read_stream(spark, folder, "events.parquet"), "1 day", "1 hour")
     return _round_floats(_drain(stream, spark, "velocity"))
@@ -385,11 +501,6 @@ def _on_scored(make: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: _round_floats(make(scored_transactions(spark, folder)))
 
 
-PREVIOUS = ["prev_amount", "gap_seconds"]
-VELOCITY = [f"{what}_{span}" for what in ("n", "sum", "avg") for span in history.SPANS]
-HISTORY = ["hist_n", "hist_mean", "hist_sd", "z_amount"]
-CALENDAR = ["hour", "weekday", "is_night"]
-
 QUERIES: dict[str, Query] = {
     "suspicious_transactions": suspicious_transactions,
     "load_transactions": load_transactions,
@@ -423,6 +534,8 @@ QUERIES: dict[str, Query] = {
     ),
     "feature_vectors": feature_vectors,
     "train_boosted": boosted_trees,
+    "train_boosted2": boosted_trees2,
+    "boosted2_splits": boosted_splits,
     "train_logistic_korean": logistic_balance,
     "confusion": _on_scored(lambda df: evaluation.confusion(df, 0.3)),
     "threshold_sweep": _on_scored(lambda df: evaluation.threshold_sweep(df, 50)),
@@ -434,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "auc_gaps": _on_scored(lambda df: evaluation.auc(_with_gaps(_rounded(df, "p_fraud", places=4)))),
     "log_loss_gaps": _on_scored(lambda df: evaluation.log_loss(_with_gaps(df))),
     "log_runs": logged_runs,
+    "log_runs_twice": runs_logged_twice,
     "runs_table": latest_run_metrics,
     "compare_runs": compared_runs,
     "best_run": best_runs,
@@ -443,6 +557,9 @@ QUERIES: dict[str, Query] = {
     "prev_stream": streamed_previous,
     "prev_stream_bad_rows": streamed_bad_rows,
     "velocity_stream": streamed_velocity,
+    "account_stream": streamed_account,
+    "account_stream_out_of_order": streamed_out_of_order,
+    "score_stream_best": streamed_best,
     "alerts": _on_scored(lambda df: _named_alerts(df)),
     "alerts_gaps": _on_scored(lambda df: _named_alerts(_with_gaps(df))),
     "prepare": prepared_table,

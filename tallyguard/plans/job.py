@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tallyguard.operators.boosting import BoostedTrees, Boosting, score_boosted, train_boosted2
 from tallyguard.operators.evaluation import auc, confusion, log_loss
 from tallyguard.operators.history import account_features, plant_fraud
 from tallyguard.operators.hot import Skew, hot_accounts
-from tallyguard.operators.quality import clean_transactions
+from tallyguard.operators.quality import DEFAULTS, clean_transactions
 from tallyguard.operators.rename import korean_transactions
 from tallyguard.operators.scoring import alerts, score
 from tallyguard.operators.split import class_weights, split
@@ -19,6 +22,8 @@ from tallyguard.operators.training import NUMERIC, Trained, train_boosted, train
 from tallyguard.schema import KOREAN
 from tallyguard.session import materialize
 from tallyguard.sources.tables import load_transactions, write_table
+from tallyguard.streaming.account import account_stream
+from tallyguard.streaming.scoring import run_to_parquet
 
 EXPERIMENT = "fraud"
 METRIC = "auc"
@@ -59,8 +64,13 @@ def train(
     out: str,
     boosted: dict | None = None,
     logistic: dict | None = None,
+    boosted2: dict | None = None,
+    learners: tuple[str, ...] = ("boosted", "logistic"),
 ) -> str:
-    """Train both classifiers on the training part, measure them on the rest, log the runs.
+    """Train the classifiers on the training part, measure them on the rest, log the runs.
+
+    ``learners`` names them: MLlib's trees, logistic regression, and ``boosted2``, the
+    second-order trees; each takes its settings by the argument of its name.
 
     Logistic regression sees the table under its Korean names. The columns to train on are
     written once, since the stages of both classifiers read them about ten times. Returns
@@ -93,19 +103,28 @@ def train(
         scored = score(fitted.model, korean_transactions(test_rows))
         return fitted, scored.withColumnRenamed(KOREAN["is_fraud"], "is_fraud"), settings
 
+    def boosted2_run() -> tuple[BoostedTrees, DataFrame, dict]:
+        chosen = Boosting(**(boosted2 or {}))
+        fitted = train_boosted2(weighted, NUMERIC, category="channel", weight="class_weight", settings=chosen)
+        return fitted, score_boosted(fitted, test_rows), asdict(chosen)
+
     store = f"{out}/runs"
-    names = {"boosted": "en", "logistic": "ko"}
-    for learner, fit in (("boosted", boosted_run), ("logistic", logistic_run)):
+    fits = {"boosted": ("en", boosted_run), "logistic": ("ko", logistic_run), "boosted2": ("en", boosted2_run)}
+    for learner in learners:
+        names, fit = fits[learner]
         started = datetime.now(timezone.utc)
         fitted, scored, settings = fit()
         run_id = f"{learner}-{uuid.uuid4().hex[:12]}"
         path = f"{out}/models/{run_id}"
-        fitted.model.save(path)
+        if isinstance(fitted, BoostedTrees):
+            fitted.save(spark, path)
+        else:
+            fitted.model.save(path)
         run = Run(
             run_id=run_id,
             experiment=EXPERIMENT,
             model_path=path,
-            params={"learner": learner, "names": names[learner], **settings},
+            params={"learner": learner, "names": names, **settings},
             metrics=_assess(scored),
             data_from=extent.data_from,
             data_to=extent.data_to,
@@ -115,22 +134,57 @@ def train(
     return store
 
 
+@dataclass(frozen=True)
+class BestRun:
+    """The run that scores: its id, where its model lies, which learner and names it has."""
+
+    run_id: str
+    model_path: str
+    learner: str
+    names: str
+
+    def score(self, spark: SparkSession, df: DataFrame) -> DataFrame:
+        """Add ``p_fraud`` to a batch or a stream of prepared transactions."""
+        if self.learner == "boosted2":
+            return score_boosted(BoostedTrees.load(spark, self.model_path), df)
+        if self.names != "ko":
+            return score(self.model_path, df)
+        # Keep the canonical columns beside the Korean ones that the model reads.
+        korean = {KOREAN[c]: F.col(c) for c in df.columns if c in KOREAN}
+        return score(self.model_path, df.withColumns(korean)).drop(*korean)
+
+
+def find_best(spark: SparkSession, store: str) -> BestRun:
+    tables = read_store(spark, store)
+    best = best_run(tables["runs"].where(F.col("experiment") == EXPERIMENT), tables["metrics"], METRIC).first()
+    params = tables["params"].where((F.col("run_id") == best.run_id) & F.col("key").isin("names", "learner"))
+    known = {row.key: row.value for row in params.collect()}  # two rows
+    return BestRun(best.run_id, best.model_path, known["learner"], known["names"])
+
+
 def score_best(spark: SparkSession, prepared: DataFrame, store: str, k: int = 10) -> DataFrame:
     """Score all transactions with the best run's model and return the alerts."""
-    tables = read_store(spark, store)
-    runs = tables["runs"].where(F.col("experiment") == EXPERIMENT)
-    best = best_run(runs, tables["metrics"], METRIC).first()
-    names = tables["params"].where((F.col("run_id") == best.run_id) & (F.col("key") == "names"))
+    best = find_best(spark, store)
     columns = ["txn_id", "account_id", "ts", "amount", "channel", "is_fraud", "p_fraud"]
-    if names.first().value == "ko":
-        # Keep the canonical columns beside the Korean ones that the model reads.
-        korean = {KOREAN[c]: F.col(c) for c in prepared.columns if c in KOREAN}
-        scored = score(best.model_path, prepared.withColumns(korean))
-    else:
-        scored = score(best.model_path, prepared)
+    scored = best.score(spark, prepared)
     return alerts(scored.select(columns), k).withColumn("model", F.lit(best.run_id.split("-")[0]))
 
 
+def score_stream_best(
+    spark: SparkSession, source: DataFrame, store: str, sink: str, checkpoint: str, lateness: str = "1 hour", **trigger: str
+) -> StreamingQuery:
+    """Score a stream of transactions with the best run's model, whatever features it needs.
+
+    The features come from ``account_stream``, equal to those the model was trained on. Rows that
+    are no transactions for ``clean_transactions`` are left out, channels and devices filled as
+    there; ids must not repeat. A late row is written without a score.
+    """
+    usable = source.where("account_id IS NOT NULL AND amount > 0 AND amount < double('inf')").fillna(DEFAULTS)
+    scored = find_best(spark, store).score(spark, account_stream(usable, lateness))
+    scored = scored.withColumn("p_fraud", F.when(~F.col("late"), F.col("p_fraud"))).withColumn("day", F.to_date("ts"))
+    return run_to_parquet(scored, sink, checkpoint, by="day", **trigger)
+
+
 def run_pipeline(
     spark: SparkSession, folder: str, out: str, k: int = 10, skew: Skew = Skew()
 ) -> DataFrame:

@@ -374,3 +374,59 @@ FROM parts WHERE NOT held_out GROUP BY channel""",
 FROM events""",
     "quality_report_approx": f"""SELECT * EXCLUDE ("distinct"), true AS near FROM ({ORACLES["quality_report"]})""",
 }
+
+ORACLES |= {
+    "train_boosted2": f"""{_PART}
+SELECT CAST(count(*) FILTER (NOT held_out) AS INTEGER) AS train_rows, count(*) FILTER (held_out) AS test_rows,
+       true AS ranks_well, true AS calibrated, 'amount' AS top_feature FROM parts""",
+    "log_runs_twice": f"SELECT *, 1 AS param_rows FROM ({ORACLES['log_runs']})",
+    "score_stream_best": f"""{WITH_TXNS}
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS rows, count(*) AS equal_to_batch
+FROM txns WHERE amount > 0 AND ts <= (SELECT max(ts) FROM txns WHERE amount > 0) - INTERVAL 1 HOUR GROUP BY day""",
+}
+
+
+def _released(lateness: str) -> str:
+    """The features of the transactions that a watermark has passed when all input is read."""
+    return f"""SELECT f.*, false AS late FROM ({ORACLES["account_features"]}) f
+JOIN events e ON e.event_id = f.txn_id WHERE e.ts <= (SELECT max(ts) FROM events) - INTERVAL {lateness}"""
+
+
+ORACLES |= {"account_stream": _released("1 HOUR"), "account_stream_out_of_order": _released("2 DAYS")}
+
+
+def _best_split(node: str, rows: str) -> str:
+    """CTEs of the best split of a set of rows, by the gain of second-order boosting."""
+    return f"""{node}_sums AS (
+  SELECT c.feature, c.name, c.edge, c.missing_left, sum(g) AS g, sum(h) AS h,
+         coalesce(sum(g) FILTER (CASE WHEN f[c.feature] IS NULL THEN c.missing_left ELSE f[c.feature] < c.edge END), 0) AS gl,
+         coalesce(sum(h) FILTER (CASE WHEN f[c.feature] IS NULL THEN c.missing_left ELSE f[c.feature] < c.edge END), 0) AS hl
+  FROM ({rows}) r, cuts c GROUP BY ALL),
+{node}_best AS (
+  SELECT * FROM (
+    SELECT *, g - gl AS gr, h - hl AS hr, (gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2 AS gain
+    FROM {node}_sums WHERE hl >= 1 AND h - hl >= 1)
+  WHERE gain > 0 ORDER BY round(gain, 9) DESC, feature, edge, missing_left DESC LIMIT 1)"""
+
+
+def _splits() -> str:
+    from tallyguard.plans.catalog import EDGES
+
+    edges = ", ".join(f"({i}, '{name}', {edge}::DOUBLE)" for i, (name, found) in enumerate(EDGES.items(), start=1) for edge in [*found, "'Infinity'"])
+    goes = "CASE WHEN f[b.feature] IS NULL THEN b.missing_left ELSE f[b.feature] < b.edge END"
+    split = "SELECT '{0}' AS node, name AS feature, CASE WHEN edge < 'Infinity' THEN edge END AS below, missing_left, round(gain, 6) AS gain, round(g, 6) + 0.0 AS gradient, round(h, 6) AS hessian, NULL::DOUBLE AS value FROM {1}_best"
+    leaf = "SELECT '{0}' AS node, NULL, NULL, NULL, NULL, round({2}, 6), round({3}, 6), round(-{2} / ({3} + 1) * 0.3, 6) FROM {1}_best"
+    parts = [split.format("root", "n"), split.format("root-l", "l"), split.format("root-r", "r")]
+    parts += [leaf.format(f"root-{a}-{b}", a, f"g{b}", f"h{b}") for a in "lr" for b in "lr"]
+    # A side that nothing splits is a leaf.
+    parts += [leaf.format(f"root-{a}", "n", f"g{a}", f"h{a}") + f" WHERE NOT EXISTS (SELECT 1 FROM {a}_best)" for a in "lr"]
+    return f"""{WITH_LABEL}, share AS (SELECT avg(is_fraud) AS p FROM labelled),
+known AS (SELECT [{", ".join(EDGES)}] AS f, p - is_fraud AS g, p * (1 - p) AS h FROM labelled, share),
+cuts AS (SELECT * FROM (VALUES {edges}) AS e(feature, name, edge), (VALUES (true), (false)) AS s(missing_left)),
+{_best_split("n", "SELECT * FROM known")},
+{_best_split("l", f"SELECT k.* FROM known k, n_best b WHERE {goes}")},
+{_best_split("r", f"SELECT k.* FROM known k, n_best b WHERE NOT {goes}")}
+{" UNION ALL ".join(parts)}"""
+
+
+ORACLES["boosted2_splits"] = _splits()

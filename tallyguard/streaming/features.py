@@ -61,12 +61,12 @@ class PreviousTransaction(StatefulProcessor):
         pass
 
 
-_COMPLETE = "account_id IS NOT NULL AND ts IS NOT NULL AND txn_id IS NOT NULL"
+COMPLETE = "account_id IS NOT NULL AND ts IS NOT NULL AND txn_id IS NOT NULL"
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:
     """The rows that ``prev_stream`` does not take, for a sink of their own."""
-    return df.where(f"NOT ({_COMPLETE})")
+    return df.where(f"NOT ({COMPLETE})")
 
 
 def prev_stream(df: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def prev_stream(df: DataFrame) -> DataFrame:
         ]
     )
     return (
-        df.where(_COMPLETE)
+        df.where(COMPLETE)
         .withColumn("_us", F.unix_micros("ts"))
         .groupBy("account_id")
         .transformWithStateInPandas(

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL, assert_close, rows
 from tallyguard.functions import sigmoid
-from tallyguard.operators.history import plant_fraud, prev_features
+from tallyguard.operators.history import SPANS, account_features, plant_fraud, prev_features
 from tallyguard.operators.scoring import score
 from tallyguard.operators.training import train_logistic
+from tallyguard.plans.job import find_best, score_stream_best, train
 from tallyguard.schema import EVENTS
-from tallyguard.streaming import prev_stream, read_stream, run_to_parquet, score_stream, velocity_stream
+from tallyguard.sources.tables import canonical
+from tallyguard.streaming import account_stream, prev_stream, read_stream, run_to_parquet, score_stream, velocity_stream
 
 AT = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -137,3 +139,59 @@ def test_scores_may_use_stream_features(spark, small, tmp_path):
     _, found = run(scored, tmp_path)
     batch = prev_features(small).withColumn("p_fraud", sigmoid(F.coalesce("prev_amount", F.lit(0.0)) * 0.01 - 2))
     assert_close(rows(found), rows(batch))
+
+
+FEATURES = ["prev_amount", "gap_seconds", *[f"{w}_{s}" for w in ("n", "sum", "avg") for s in SPANS], "hist_n", "hist_mean", "hist_sd", "z_amount"]
+
+
+def features(df):
+    return rows(df.select("txn_id", "account_id", "ts", "amount", "channel", *FEATURES, "hour", "weekday", "is_night"))
+
+
+def test_account_features_over_batches_and_a_restart(spark, events, small, tmp_path):
+    """Files that overlap in time within the lateness, two before and two after a restart."""
+    folder = tmp_path / "in"
+    moved = events.withColumn("at", F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(86400)))
+    cuts = [float("-inf"), *moved.approxQuantile("at", [0.25, 0.5, 0.75], 0.0), float("inf")]
+    parts = [moved.where((F.col("at") >= a) & (F.col("at") < b)).drop("at") for a, b in zip(cuts, cuts[1:])]
+    for n in (0, 1):
+        land(parts[n], folder, f"f{n}")
+    batches, first = run(account_stream(one_file(spark, folder), "1 day"), tmp_path)
+    assert len(batches) == 2 and 0 < first.count() < 500
+    for n in (2, 3):
+        land(parts[n], folder, f"f{n}")
+    _, found = run(account_stream(one_file(spark, folder), "1 day"), tmp_path)
+    assert found.where("late").count() == 0
+    reached = small.agg(F.max("ts")).first()[0] - timedelta(days=1)
+    assert features(found) == features(account_features(small).where(F.col("ts") <= F.lit(reached)))
+    assert found.count() > 900
+
+
+def test_account_stream_marks_late_rows_and_forgets_old_ones(spark, tmp_path):
+    folder = tmp_path / "in"
+    day = 24 * 60
+    land(spark.createDataFrame([event(1, 0), event(2, 1, value=None), event(3, 1, value=float("inf")), event(4, 2, value=1e28), event(5, 300)], EVENTS), folder, "f0")
+    # Row 6 is behind the watermark; account 3 comes only now; rows without time or account are left out.
+    gone = [(90, None, 1, "card", 1.0, "{}"), (91, AT + timedelta(minutes=400), None, "card", 1.0, "{}")]
+    land(spark.createDataFrame([event(6, 10), event(7, 290), event(8, 300, value=4.0), event(9, 20 * day, account=3), *gone], EVENTS), folder, "f1")
+    land(spark.createDataFrame([event(10, 20 * day + 5, value=7.0), event(11, 20 * day + 5, value=8.0), event(12, 40 * day, account=2)], EVENTS), folder, "f2")
+    _, found = run(account_stream(one_file(spark, folder), "1 hour"), tmp_path)
+    late = found.where("late").collect()
+    assert [r.txn_id for r in late] == [6] and late[0].hist_n is None and late[0].ts == (AT + timedelta(minutes=10)).replace(tzinfo=None)
+    kept = spark.read.schema(EVENTS).parquet(str(folder)).where("event_id NOT IN (6, 12, 90, 91)")
+    wanted = account_features(canonical(kept))
+    assert features(found.where("NOT late")) == features(wanted)
+
+
+def test_best_run_scores_a_stream(spark, small, tmp_path):
+    """A model of features that only the account's history gives, on either learner."""
+    prepared = plant_fraud(account_features(small))
+    source = lambda: read_stream(spark, SMALL, "events.parquet")
+    for learner in ("logistic", "boosted2"):
+        out = tmp_path / learner
+        store = train(spark, prepared, str(out), logistic={"maxIter": 5}, boosted2={"trees": 2, "depth": 2}, learners=(learner,))
+        score_stream_best(spark, source(), store, str(out / "sink"), str(out / "log")).awaitTermination()
+        found = spark.read.parquet(str(out / "sink"))
+        batch = find_best(spark, store).score(spark, prepared)
+        reached = small.agg(F.max("ts")).first()[0] - timedelta(hours=1)
+        assert_close(rows(found.select("txn_id", "p_fraud")), rows(batch.where(F.col("ts") <= F.lit(reached)).select("txn_id", "p_fraud")))

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 
 from conftest import rows
+from tallyguard.operators import tracking
 from tallyguard.operators.tracking import (
     METRICS,
     PARAMS,
@@ -112,3 +113,36 @@ def test_half_logged_run_is_not_seen(spark, tmp_path, monkeypatch):
         log_run(spark, store, broken)
     tables = read_store(spark, store)
     assert [r.run_id for r in best_run(tables["runs"], tables["metrics"], "m").collect()] == ["whole"]
+
+
+def test_a_run_logged_again_is_one_run(spark, tmp_path):
+    store = str(tmp_path / "store")
+    run = Run("r", "fraud", "m/r", params={"depth": 4}, metrics={"auc": [0.7, 0.8]}, started=AT)
+    for _ in range(3):
+        log_run(spark, store, run)
+    tables = read_store(spark, store)
+    assert [tables[t].count() for t in ("runs", "params", "metrics")] == [1, 1, 2]
+    wide = rows(compare_runs(tables["runs"], tables["params"], tables["metrics"], ["auc"], ["depth"]), "run_id")
+    assert len(wide) == 1 and wide[0]["auc"] == 0.8 and wide[0]["depth"] == "4"
+
+
+def test_an_attempt_that_died_is_not_seen(spark, tmp_path):
+    store = str(tmp_path / "store")
+    log_run(spark, store, Run("other", "fraud", params={"depth": 1}, metrics={"auc": 0.6}, started=AT))
+    run = Run("r", "fraud", params={"depth": 4}, metrics={"auc": 0.9}, started=AT)
+    died = tracking._rows(spark, run, "died")
+    for table in ("params", "metrics"):
+        died[table].write.mode("append").parquet(f"{store}/{table}")
+    tables = read_store(spark, store)
+    assert {t: [r["run_id"] for r in tables[t].collect()] for t in tables} == {t: ["other"] for t in tables}
+    log_run(spark, store, run)
+    tables = read_store(spark, store)
+    assert [tables[t].where("run_id = 'r'").count() for t in ("runs", "params", "metrics")] == [1, 1, 1]
+
+
+def test_tables_from_before_attempts_are_read(spark, tables, tmp_path):
+    for name, df in zip(("runs", "params", "metrics"), tables):
+        df.write.parquet(str(tmp_path / name))
+    found = read_store(spark, str(tmp_path))
+    assert found["runs"].count() == 5 and found["params"].where("run_id = 'b'").count() == 2
+    assert found["metrics"].where("run_id = 'lost'").count() == 0

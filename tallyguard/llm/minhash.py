@@ -59,10 +59,11 @@ class Shape:
         return self.bands * self.rows
 
 
-def shingle_sets(data: np.ndarray, bounds: np.ndarray, hasher: scan.Hasher, k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of every distinct shingle, ordered by row and hash."""
     start, end, row = scan.words(data, bounds)
-    word = hasher.of(hasher.sums(data), start, end)
+    code, kinds = scan.coded(scan.LOWER[data], start, end)
+    word = scan.string_hashes(kinds)[code]
     at = np.flatnonzero(row[k - 1 :] == row[: len(row) - k + 1]) if len(row) >= k else np.zeros(0, dtype=np.int64)
     whole = np.zeros(len(at), dtype=np.uint64)
     for step in range(k):
@@ -151,11 +152,10 @@ def sketches(docs: DataFrame, shape: Shape) -> DataFrame:
     batched(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = scan.Hasher(3, fold=True)
         for batch in batches:
             data, bounds = scan.text_buffer(batch.column("text"))
             for a, b in scan.slices(bounds):
-                row, value = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], hasher, shape.words)
+                row, value = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], shape.words)
                 size = scan.per_row(row, b - a)
                 keys = band_keys(sketch(row, value, b - a, shape.bins), shape)
                 ends = np.concatenate(([0], np.cumsum(size)))
@@ -184,11 +184,10 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
     """Per document its whole set as shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = scan.Hasher(3, fold=True)
         for batch in batches:
             data, bounds = scan.text_buffer(batch.column("text"))
             for a, b in scan.slices(bounds):
-                row, value = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], hasher, k)
+                row, value = shingle_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], k)
                 ends = np.concatenate(([0], np.cumsum(scan.per_row(row, b - a))))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value.view(np.int64)))],

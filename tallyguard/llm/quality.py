@@ -175,6 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit) -> tuple[dict, dict[str,
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.labelled)
     flags = known.select("doc_id", (F.col("quality") == 0).alias("poor"), (F.col("toxic") == 1).alias("toxic"))
     half = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)).cast("int")
+    # At most ``fit.labelled`` ids: they go to the texts.
+    flags = F.broadcast(materialize(flags, "flags"))
     rows = materialize(docs.select("doc_id", "text").join(flags, "doc_id").withColumn("half", half), "labelled")
     lexicons = _lexicons(rows, fit)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 SLICE = 1 << 18
@@ -36,17 +37,16 @@ def seeded(seed: int, n: int) -> np.ndarray:
     return mix((np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + mix(np.array([seed], dtype=np.uint64)))
 
 
-class Hasher:
-    """Hashes of any substrings of a buffer from one running sum (a polynomial modulo 2^64).
+class Rolling:
+    """Quick hashes of any substrings of a buffer from one running sum (a polynomial modulo 2^64).
 
-    Every byte stands for a 64-bit value drawn by ``seed``; with ``fold`` the letters A to Z
-    stand for the values of a to z.
+    Every byte stands for a 64-bit value drawn by ``seed``. Equal strings have equal hashes, but
+    there are pairs of different strings that share theirs whatever the seed: good for dealing
+    strings out, not for telling them apart.
     """
 
-    def __init__(self, seed: int = 1, fold: bool = False):
+    def __init__(self, seed: int = 1):
         self.values = seeded(seed, 256)
-        if fold:
-            self.values = self.values[LOWER]
         self.base = int(mix(np.array([seed + 77], dtype=np.uint64))[0]) | 1
         self.inverse = pow(self.base, -1, 1 << 64)
         self.up = self.down = np.ones(1, dtype=np.uint64)
@@ -67,10 +67,79 @@ class Hasher:
         return out
 
     def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The hash of each data[start:end]; equal strings have equal hashes anywhere."""
         return mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """The same number modulo the prime, in fewer bits."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
+class Hasher:
+    """Hashes that tell substrings of a buffer apart: two polynomials modulo the prime 2^31 - 1.
+
+    Their bases and the values of the bytes are drawn by ``seed``. Two different strings of n
+    bytes share both with a chance of at most (n / 2^31)^2, some 2^-62 for nearly all, as
+    powers of a base do not run into each other modulo a prime. With ``fold`` the letters A to Z
+    stand for a to z.
+    """
+
+    def __init__(self, seed: int = 1, fold: bool = False):
+        prime = int(_PRIME)
+        values = (seeded(seed, 512) % np.uint64(prime - 1) + np.uint64(1)).reshape(2, 256)
+        self.values = values[:, LOWER] if fold else values
+        self.bases = [int(x) % (prime - 2) + 2 for x in seeded(seed + 77, 2)]
+        self.inverses = [pow(b, -1, prime) for b in self.bases]
+        self.up = self.down = np.ones((2, 1), dtype=np.uint64)
+
+    def _grow(self, n: int) -> None:
+        while self.up.shape[1] < n:
+            size = self.up.shape[1]
+            for name, bases in (("up", self.bases), ("down", self.inverses)):
+                known = getattr(self, name)
+                step = np.array([[pow(b, size, int(_PRIME))] for b in bases], dtype=np.uint64)
+                setattr(self, name, np.concatenate((known, known * step % _PRIME), axis=1))
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Running sums, a row for each polynomial and one longer than the data; ``of`` needs them."""
+        self._grow(len(data) + 1)
+        out = np.zeros((2, len(data) + 1), dtype=np.uint64)
+        for i in range(2):
+            # Less than 2^32 each: sums of up to 2^31 bytes stay within 64 bits.
+            np.cumsum(_reduced(self.values[i][data] * self.up[i, : len(data)]), out=out[i, 1:], dtype=np.uint64)
+        return out
+
+    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hash of each data[start:end]; equal strings have equal hashes anywhere."""
+        one, two = (_reduced(_reduced(sums[i][end] - sums[i][start])) * self.down[i][start] % _PRIME for i in range(2))
+        return mix((one << np.uint64(31) | two) + mix((end - start).astype(np.uint64)))
+
+
+def coded(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Codes of substrings, equal for equal strings alone, and the strings in the order of the codes.
+
+    The substrings come in order and do not overlap. Nothing is hashed that is not compared.
+    """
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, end, -1)
+    inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    bounds = np.concatenate(([0], np.cumsum(end - start))).astype(np.int64)
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[inside]))]
+    found = pa.Array.from_buffers(pa.large_binary(), len(start), buffers).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """Hashes of whole strings, the same in every batch (SipHash, keyed)."""
+    if not len(strings):
+        return np.zeros(0, dtype=np.uint64)
+    return pd.util.hash_array(strings.to_numpy(zero_copy_only=False), categorize=False)
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the bounds of its rows; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -28,7 +28,7 @@ short, are compared one by one by their hashes (128 bits).
 ``keep_first`` leaves the earliest occurrence, in the order of (doc_id, hash of the text,
 place), and takes all later ones; otherwise all occurrences count.
 
-Hashes have 64 bits; windows in one chunk are compared by their bytes.
+Windows in one chunk are compared by their bytes, all others by hashes of 64 bits (``scan.Hasher``).
 
 Defined results: a null text is empty; rows without ``doc_id`` are documents that come
 first; rows that repeat a ``doc_id`` are documents of their own, and equal ones are copies of
@@ -46,8 +46,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tallyguard.functions import quoted
 from tallyguard.llm import scan
 from tallyguard.llm.work import batched, materialize, tidy
 
@@ -69,8 +70,10 @@ class Passage:
         return self.size - self.anchor + 1
 
 
-def _text_hash(hasher: scan.Hasher, sums: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    return hasher.of(sums, bounds[:-1], bounds[1:]).view(np.int64)
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """``doc_id, text, text_hash``: texts under one id, or under none, are told apart by their hash."""
+    hashed = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.octet_length(F.coalesce(F.col("text"), F.lit(""))))
+    return docs.withColumn("text_hash", hashed).select("doc_id", "text", "text_hash", *more)
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -86,15 +89,14 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def contexts(data: np.ndarray, bounds: np.ndarray, hasher: scan.Hasher, passage: Passage):
+def contexts(data: np.ndarray, bounds: np.ndarray, quick: scan.Rolling, hasher: scan.Hasher, passage: Passage):
     """Row, anchor hash, context hash, first window (in its row), windows and the anchor's place in every context."""
-    sums = hasher.sums(data)
     n = len(data) - passage.anchor + 1
     empty = np.zeros(0, dtype=np.int64)
     if n < passage.reach or not (np.diff(bounds) >= passage.size).any():
         return empty, empty.view(np.uint64), empty.view(np.uint64), empty, empty, empty
     at = np.arange(n)
-    grams = hasher.of(sums, at, at + passage.anchor)
+    grams = quick.of(quick.sums(data), at, at + passage.anchor)
     least = sliding_minimum((grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64), passage.reach)
     anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
     inside = np.zeros(len(data) + 1, dtype=np.int64)
@@ -110,7 +112,7 @@ def contexts(data: np.ndarray, bounds: np.ndarray, hasher: scan.Hasher, passage:
     low, high = np.flatnonzero(first), np.flatnonzero(last)
     row = np.searchsorted(bounds, low, side="right") - 1
     key = grams[anchor[low]]
-    whole = scan.mix(hasher.of(sums, low, high + passage.size) + (anchor[low] - low).astype(np.uint64))
+    whole = scan.mix(hasher.of(hasher.sums(data), low, high + passage.size) + (anchor[low] - low).astype(np.uint64))
     return row, key, whole, low - bounds[row], high - low + 1, anchor[low] - low
 
 
@@ -121,16 +123,16 @@ def segments(docs: DataFrame, passage: Passage) -> DataFrame:
     batched(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = scan.Hasher(21)
+        quick, hasher = scan.Rolling(21), scan.Hasher(21)
         for batch in batches:
             data, bounds = scan.text_buffer(batch.column("text"))
             for a, b in scan.slices(bounds):
                 part, at = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
-                row, key, whole, low, windows, offset = contexts(part, at, hasher, passage)
+                row, key, whole, low, windows, offset = contexts(part, at, quick, hasher, passage)
                 if len(row):
-                    text = _text_hash(hasher, hasher.sums(part), at)
+                    own = pa.array(row + a)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(row + a)), pa.array(text[row]), pa.array(key.view(np.int64)),
+                        [batch.column("doc_id").take(own), batch.column("text_hash").take(own), pa.array(key.view(np.int64)),
                          pa.array(whole.view(np.int64)), pa.array(low), pa.array(windows), pa.array(offset)],
                         names=["doc_id", "text_hash", "key", "ctx", "low", "windows", "offset"],
                     )
@@ -158,10 +160,10 @@ def _short_spans(docs: DataFrame, passage: Passage) -> DataFrame:
                 part, at = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
                 row, start, end = short_strings(part, at, passage)
                 if len(row):
-                    sums = hasher.sums(part)
+                    own = pa.array(row + a)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(row + a)), pa.array(_text_hash(hasher, sums, at)[row]),
-                         pa.array(hasher.of(sums, start, end).view(np.int64)), pa.array(second.of(second.sums(part), start, end).view(np.int64)),
+                        [batch.column("doc_id").take(own), batch.column("text_hash").take(own),
+                         pa.array(hasher.of(hasher.sums(part), start, end).view(np.int64)), pa.array(second.of(second.sums(part), start, end).view(np.int64)),
                          pa.array(start - at[row]), pa.array(end - at[row])],
                         names=["doc_id", "text_hash", "k1", "k2", "a", "b"],
                     )
@@ -173,7 +175,7 @@ def _short_spans(docs: DataFrame, passage: Passage) -> DataFrame:
     near = table.join(materialize(groups, "shared"), ["k1", "k2"])
     if passage.keep_first:
         near = near.where(place != F.col("first"))
-    return near.select("doc_id", "text_hash", "a", "b")
+    return near.select("doc_id", "text_hash", F.array("a").alias("a"), F.array("b").alias("b"))
 
 
 def suffix_ranks(data: np.ndarray, ends: np.ndarray, size: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
@@ -306,35 +308,36 @@ def _chunk(passage: Passage):
     return run
 
 
+def _joined(docs: DataFrame, per_text: DataFrame, how: str = "inner") -> DataFrame:
+    """Columns of texts ``doc_id, text_hash, ...`` beside every row that holds the text."""
+    other = per_text.withColumnsRenamed({"doc_id": "other_id", "text_hash": "other_hash"})
+    same = F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("text_hash") == F.col("other_hash"))
+    return docs.join(other, same, how).drop("other_id", "other_hash")
+
+
 def _with_bytes(docs: DataFrame, wanted: DataFrame, passage: Passage) -> DataFrame:
     """The bytes of the wanted contexts, cut from their texts."""
     per_text = wanted.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("key", "ctx", "low", "windows", "offset", "kinds")).alias("cuts")
     )
-    near = docs.join(per_text.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "text_hash", "cuts")
+    near = _joined(docs, per_text).select("doc_id", "text", "text_hash", "cuts")
     names = ["key", "ctx", "low", "windows", "offset", "kinds"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = scan.Hasher(21)
         for batch in batches:
             data, bounds = scan.text_buffer(batch.column("text"))
-            expected = batch.column("text_hash").to_numpy()
             cuts = batch.column("cuts")
             for a, b in scan.slices(bounds):
                 at = bounds[a : b + 1] - bounds[a]
-                part = data[bounds[a] : bounds[b]]
-                right = _text_hash(hasher, hasher.sums(part), at) == expected[a:b]
-                raw = part.tobytes()
+                raw = data[bounds[a] : bounds[b]].tobytes()
                 lists = cuts.slice(a, b - a)
-                flat, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
-                row = np.repeat(np.arange(b - a), sizes)
-                use = np.flatnonzero(right[row])
-                row, flat = row[use], flat.take(pa.array(use))
+                flat, row = lists.flatten(), np.repeat(np.arange(b - a), np.diff(lists.offsets.to_numpy()))
                 low, windows = (flat.field(n).to_numpy() for n in ("low", "windows"))
                 start = at[row] + low
                 pieces = [raw[x:y] for x, y in zip(start.tolist(), (start + windows + passage.size - 1).tolist())]
+                own = pa.array(row + a)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(row + a)), batch.column("text_hash").take(pa.array(row + a)),
+                    [batch.column("doc_id").take(own), batch.column("text_hash").take(own),
                      *[flat.field(n) for n in names], pa.array(pieces, pa.binary())],
                     names=["doc_id", "text_hash", *names, "bytes"],
                 )
@@ -379,9 +382,25 @@ def _between_chunks(chunked: DataFrame, found: DataFrame, passage: Passage) -> D
     return hit.select("key", "ctx", F.col("window").alias("a"), (F.col("window") + 1).alias("b"), (F.col("place") > F.col("first")).alias("earlier"))
 
 
+def _merged(ranges: Column) -> Column:
+    """Sorted ranges ``a, b`` of one context, those that touch or overlap made one."""
+    kind = "array<struct<a: bigint, b: bigint>>"
+
+    def add(done: Column, r: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))  # null at first
+        longer = F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))
+        before = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(last["b"] >= r["a"], F.concat(before, F.array(longer))).otherwise(F.concat(done, F.array(r)))
+
+    return F.aggregate(F.sort_array(ranges), F.array().cast(kind), add)
+
+
 def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
-    """``doc_id, text_hash, a, b``: covered byte ranges, several of a document may overlap."""
-    docs = tidy(docs, doc_id="long", text="string")
+    """``doc_id, text_hash, a, b``: starts and ends of covered ranges of bytes.
+
+    A row holds those of one context, of which a text has several; ranges of a text may overlap.
+    ``docs`` is ``keyed``.
+    """
     batched(docs.sparkSession)
     table = materialize(segments(docs, passage), "segments")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_hash", "low")
@@ -401,7 +420,7 @@ def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
     inner = found.where("kind <> 'block'").select("key", "ctx", "a", "b", (F.col("kind") == "earlier").alias("earlier"))
     between = _between_chunks(chunked, found, passage)
     both = inner.unionByName(between.where("earlier")).unionByName(between.withColumn("earlier", F.lit(False)))
-    wanted = both.where(F.col("earlier") == passage.keep_first).groupBy("key", "ctx").agg(F.collect_list(F.struct("a", "b")).alias("hits"))
+    wanted = both.where(F.col("earlier") == passage.keep_first).groupBy("key", "ctx").agg(_merged(F.collect_list(F.struct("a", "b"))).alias("hits"))
     # A class of several documents is found elsewhere as a whole.
     ranges = classes.select("key", "ctx", "n", "first").join(wanted, ["key", "ctx"], "left").where("n > 1 OR hits IS NOT NULL")
     # Written first, so that both sides of the next join come from plain exchanges, and a
@@ -412,8 +431,11 @@ def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
     if passage.keep_first:
         whole = whole & (place != F.col("first"))
     hits = F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))).otherwise(F.col("hits"))
-    covered = near.select("doc_id", "text_hash", "low", F.explode(hits).alias("h"))
-    long_ = covered.select("doc_id", "text_hash", (F.col("low") + F.col("h.a")).alias("a"), (F.col("low") + F.col("h.b") + (passage.size - 1)).alias("b"))
+    near = near.withColumn("hits", hits).where("hits IS NOT NULL")
+    low, tail = F.col("low"), passage.size - 1
+    long_ = near.select(
+        "doc_id", "text_hash", F.transform("hits", lambda h: low + h["a"]).alias("a"), F.transform("hits", lambda h: low + h["b"] + tail).alias("b")
+    )
     return long_.unionByName(_short_spans(docs, passage)) if passage.words else long_
 
 
@@ -427,38 +449,32 @@ def _united(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return turn.reshape(-1, 2)
 
 
-def _on_texts(docs: DataFrame, covered: DataFrame, extra: list[str], work, schema: str) -> DataFrame:
+def _on_texts(docs: DataFrame, covered: DataFrame, extra: list[str], work, names: list[str], schema: str | T.StructType) -> DataFrame:
     """Run ``work(bytes, runs)`` on every text; ``extra`` columns are handed on before its results."""
-    ranges = covered.groupBy("doc_id", "text_hash").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    # Texts under one doc_id are told apart by their hash.
-    per_doc = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("text_hash", "a", "b")).alias("_texts")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    flat = {c: F.flatten(F.collect_list(c)).alias(f"covered_{c}") for c in ("a", "b")}
+    joined = _joined(docs, covered.groupBy("doc_id", "text_hash").agg(*flat.values()), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = scan.Hasher(21)
         for batch in batches:
             data, bounds = scan.text_buffer(batch.column("text"))
-            texts = batch.column("_texts").to_pylist()
+            starts, ends = (batch.column(f"covered_{c}") for c in ("a", "b"))
             results = []
-            for a, b in scan.slices(bounds):
-                part, at = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
-                hashed = _text_hash(hasher, hasher.sums(part), at)
-                for i in range(b - a):
-                    text = part[at[i] : at[i + 1]]
-                    hit = [t for t in texts[a + i] or [] if t["text_hash"] == hashed[i]]
-                    runs = _united(np.array(hit[0]["a"]), np.array(hit[0]["b"]), len(text)) if hit else np.zeros((0, 2), dtype=np.int64)
-                    results.append(work(text, runs))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in extra], *map(pa.array, zip(*results))] if results else [*[batch.column(c) for c in extra], *[pa.array([])] * 4],
-                names=[*extra, *[f"_{i}" for i in range(len(results[0]) if results else 4)]],
-            )
+            for i in range(batch.num_rows):
+                text = data[bounds[i] : bounds[i + 1]]
+                found = (np.array(c[i].as_py() or [], dtype=np.int64) for c in (starts, ends))
+                results.append(work(text, _united(*found, len(text))))
+            columns = zip(*results) if results else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in extra], *map(pa.array, columns)], names=[*extra, *names])
 
-    return joined.select(*extra, *[c for c in ("text",) if c not in extra], "_texts").mapInArrow(run, schema)
+    return joined.select(*dict.fromkeys([*extra, "text"]), "covered_a", "covered_b").mapInArrow(run, schema)
 
 
 def repeated_bytes(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
-    """Per document its bytes, how many are covered, in how many runs, and the hash of the rest."""
-    docs = tidy(docs, doc_id="long", text="string")
+    """Per document its bytes, how many are covered, in how many runs, and the hash of the rest.
+
+    ``text`` is what is left as text: characters that are covered only in part stay whole in it.
+    """
+    docs = keyed(tidy(docs, doc_id="long", text="string"))
     covered = materialize(spans(docs, passage), "spans")
 
     def work(text: np.ndarray, runs: np.ndarray) -> tuple:
@@ -467,11 +483,11 @@ def repeated_bytes(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
             digest.update(text[at:a])
             at = b
         digest.update(text[at:])
-        return len(text), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), digest.hexdigest()
+        return len(text), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), digest.hexdigest(), _rest(text, runs)
 
-    schema = "doc_id long, _0 long, _1 long, _2 long, _3 string"
-    names = {"_0": "n_bytes", "_1": "n_removed", "_2": "n_spans", "_3": "kept_sha256"}
-    return _on_texts(docs, covered, ["doc_id"], work, schema).withColumnsRenamed(names)
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
+    return _on_texts(docs, covered, ["doc_id"], work, names, schema)
 
 
 def _characters(text: np.ndarray, runs: np.ndarray) -> list[tuple[int, int]]:
@@ -487,21 +503,26 @@ def _characters(text: np.ndarray, runs: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _rest(text: np.ndarray, runs: np.ndarray) -> str:
+    """What the runs leave of a text."""
+    kept, at = [], 0
+    for a, b in _characters(text, runs):
+        kept.append(text[at:a].tobytes())
+        at = b
+    kept.append(text[at:].tobytes())
+    return b"".join(kept).decode()
+
+
 def without_repeats(docs: DataFrame, passage: Passage = Passage(keep_first=True)) -> DataFrame:
     """``docs`` with the covered parts of ``text`` cut out, at whole characters; null texts stay null."""
-    covered = materialize(spans(docs, passage), "spans")
-    columns = [c for c in docs.columns if c != "text"]
-
-    def work(text: np.ndarray, runs: np.ndarray) -> tuple:
-        kept, at = [], 0
-        for a, b in _characters(text, runs):
-            kept.append(text[at:a].tobytes())
-            at = b
-        kept.append(text[at:].tobytes())
-        return (b"".join(kept).decode(),)
-
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*columns, "text"]) + ", _0 string"
-    typed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    cut = _on_texts(typed, covered, [*columns, "text"], work, schema)
-    return cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_0"))).select(docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # The other columns go along as one, so that none of their names can clash.
+    row = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                            F.struct(*[F.col(quoted(c)) for c in others] or [F.lit(0).alias("none")]).alias("others")), "others")
+    covered = materialize(spans(row.drop("others"), passage), "spans")
+    extra = ["doc_id", "text", "others"]
+    schema = T.StructType([*[row.schema[c] for c in extra], T.StructField("rest", T.StringType())])
+    cut = _on_texts(row, covered, extra, lambda text, runs: (_rest(text, runs),), ["rest"], schema)
+    rest = F.when(F.col("text").isNotNull(), F.col("rest"))
+    columns = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": rest}
+    return cut.select(*[columns.get(c, F.col("others")[c]).alias(c) for c in docs.columns])

@@ -3,8 +3,8 @@
 The byte-level vocabulary first cuts a text by a pattern and then merges within each cut,
 so the ids of a text are the ids of its cuts, one after the other. ``Encoder`` finds places
 where that pattern always cuts (before a space or line break between other characters,
-after such a line break, before punctuation after a letter), hashes what lies between, and
-asks the tokenizer only for pieces it has not met. A text with other Unicode spaces or with
+after such a line break, before punctuation after a letter), and asks the tokenizer only for
+pieces that it has not met, known by their bytes. A text with other Unicode spaces or with
 a special token's name is given to the tokenizer whole. The memory of pieces is bounded;
 when full it is emptied.
 """
@@ -81,11 +81,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
         self.special = [str(t.content).encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.hasher = scan.Hasher(9)
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 1  # entry 0 is the id that ends a document
         self.ids[0] = END
@@ -150,17 +149,17 @@ class Encoder:
         start = self._cuts(data, bounds)
         end = np.append(start[1:], len(data))
         row = np.searchsorted(bounds, start, side="right") - 1
-        hashed, first, place = np.unique(self.hasher.of(self.hasher.sums(data), start, end), return_index=True, return_inverse=True)
+        place, found = scan.coded(data, start, end)
+        found = found.to_pylist()
         if len(self.known) > KNOWN:
             self._forget()
-        entry = np.fromiter(map(self.known.get, hashed.tolist(), [-1] * len(hashed)), dtype=np.int64, count=len(hashed))
+        entry = np.fromiter(map(self.known.get, found, [-1] * len(found)), dtype=np.int64, count=len(found))
         new = np.flatnonzero(entry < 0)
         if len(new):
-            raw = data.tobytes()
-            at = first[new]
             entry[new] = self.entries + np.arange(len(new))
-            self.known.update(zip(hashed[new].tolist(), entry[new].tolist()))
-            self._learn([raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist())])
+            fresh = [found[i] for i in new.tolist()]
+            self.known.update(zip(fresh, entry[new].tolist()))
+            self._learn([piece.decode() for piece in fresh])
         pieces = np.bincount(row, minlength=rows)
         chain = np.zeros(len(start) + rows, dtype=np.int64)
         chain[np.arange(len(start)) + row] = entry[place]

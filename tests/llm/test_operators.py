@@ -562,3 +562,64 @@ def test_mix_of_odd_input(odd, empty):
 
 def test_every_operator_is_a_query():
     assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+
+
+# Strings that fool sums modulo a power of two
+
+
+def thue_morse(n, letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def fooling(size=2048):
+    """Two words of two letters, each the other's complement."""
+    return thue_morse(size), thue_morse(size, "ba")
+
+
+def test_hashes_tell_fooling_strings_apart():
+    one, two = fooling()
+    data, bounds = scan.text_buffer(pa.array([one, two]))
+    quick = scan.Rolling(3)
+    same = quick.of(quick.sums(data), bounds[:-1], bounds[1:])
+    assert same[0] == same[1]  # why these strings are a test
+    for seed in range(20):
+        hasher = scan.Hasher(seed)
+        found = hasher.of(hasher.sums(data), bounds[:-1], bounds[1:])
+        assert found[0] != found[1]
+    code, kinds = scan.coded(data, bounds[:-1], bounds[1:])
+    assert code.tolist() == [0, 1] and len(set(scan.string_hashes(kinds).tolist())) == 2
+
+
+def test_fooling_strings_keep_their_ids(spark):
+    """Packing and token output give each text its own ids, though their pieces look alike to a weak hash."""
+    texts = [f"{w} {w}" for w in fooling()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    encoder = tokens.encoder(tokens.default_path()).tokenizer
+    ids = {i: [*encoder.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+    crc = lambda part: zlib.crc32(np.array(part, dtype="<u4").tobytes())
+    written = grammar.decode(grammar.write_blocks(docs, tokens.default_path())).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in written} == {i: (len(x), crc(x)) for i, x in ids.items()}
+    for r in packing.packed_documents(docs, tokens.default_path()).collect():
+        assert r.ids_crc32 == crc(ids[r.doc_id][r.start : r.start + r.length])
+
+
+def test_fooling_lines_and_passages_do_not_repeat(spark, labels):
+    one, two = fooling()
+    docs = spark.createDataFrame([(1, f"{one}\n{two}"), (2, f"{one}\n{one}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_dup_lines for r in rules.quality_rules(docs, labels.limit(0)).collect()} == {1: 0, 2: 1}
+    # The words repeat in themselves; what repeats nowhere are 2,000 bytes.
+    far = suffixes.repeated_bytes(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"), suffixes.Passage(size=2000, hot=1))
+    assert [r.n_removed for r in far.collect()] == [0, 0]
+
+
+def test_contexts_of_a_busy_anchor_give_ranges_not_windows(spark):
+    """Texts that share one passage with unlike neighbours: as many rows below ``hot`` as above."""
+    rng = np.random.default_rng(4)
+    passage = "".join(map(chr, rng.integers(97, 123, 300)))
+    rows = [(i, "".join(map(chr, rng.integers(97, 123, 200))) + passage + "".join(map(chr, rng.integers(97, 123, 200)))) for i in range(120)]
+    docs = suffixes.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    counts = {}
+    for hot in (16, 4096):
+        found = suffixes.spans(docs, suffixes.Passage(size=100, anchor=16, hot=hot, keep_first=True)).toPandas()
+        counts[hot] = len(found), sum(len(a) for a in found.a)
+    assert counts[16][0] <= 1.2 * counts[4096][0] and counts[16][1] <= 1.5 * counts[4096][1]

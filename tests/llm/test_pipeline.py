@@ -93,3 +93,29 @@ def test_run_is_the_stages(spark, stages):
     rows = corpus_pipeline.run(spark, SMALL)
     assert rows.count() == len(stages["best_fit_packing"][1])
     assert re.fullmatch(r"[a-z_]+", corpus_pipeline.STAGES[0][0])
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _id int, _texts string, `_copies` int, other_id int, covered_a int, others string, `a b.c` string, _n int, count int"
+
+
+def odd_documents():
+    long_ = " ".join(f"wort{i % 977} ünd{i % 13}" for i in range(20_000))
+    rows = [
+        (1, "The cat sat on the mat and the dog ran off with it", "en", "a"), (2, None, None, None), (3, "", "en", "b"), (4, " \t\n", "de", "b"),
+        (5, long_, "de", "b/x"), (6, long_, "de", None), (None, "no id here but some words", "en", None), (None, None, None, None),
+        (None, "no id here but some words", "en", None), (7, "same row twice", "en", "a"), (7, "same row twice", "en", "a"),
+        (8, "one id two texts", "en", "a"), (8, "quite another text", "en", "b"), (9, "é" * 900, "fr", "a"),
+    ]
+    return [(*r, 0, 1, "t", 2, 3, 4, "o", "x", 5, 6) for r in rows]
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_rows_and_clashing_names_go_through_every_stage(spark, empty):
+    docs = spark.createDataFrame([] if empty else odd_documents(), ODD)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, corpus_pipeline.materialize(stage(spark, docs, SMALL), "odd")
+        assert docs.columns == before.columns, name
+    kept = docs.toPandas()
+    assert len(kept) == 0 if empty else {1, 2, 3, 5} <= set(kept.doc_id.dropna())
+    packed = corpus_pipeline.pack(spark, docs, SMALL)
+    assert packed.count() >= len(kept)

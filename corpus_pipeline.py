@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyguard.functions import quoted
 from tallyguard.llm import minhash, mixing, packing, quality, suffixes
 from tallyguard.llm.tokens import default_path
-from tallyguard.llm.work import materialize, read, without
+from tallyguard.llm.work import materialize, read, renamed_apart, without
 
 # All passages of over 50 words, however short the words, and all of at least 250 bytes.
 PASSAGE = suffixes.Passage(size=250, anchor=48, keep_first=True, words=51)
@@ -49,8 +50,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     taken = mixing.mixture(docs).where("doc_id IS NOT NULL").groupBy("doc_id")
     copies = taken.agg(F.expr("sum(copies) div count(*)").alias("_copies"))
-    joined = docs.join(copies, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)).cast("int"))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(docs.columns)
+    taken_as = renamed_apart(docs, [])
+    joined = docs.join(copies.withColumnRenamed("_copies", taken_as), "doc_id", "left")
+    times = F.coalesce(F.col(taken_as), F.lit(1)).cast("int")
+    return joined.select(*[F.col(quoted(c)) for c in docs.columns], F.explode(F.array_repeat(F.lit(0), times)).alias(taken_as)).drop(taken_as)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -414,8 +414,8 @@ def _splits() -> str:
 
     edges = ", ".join(f"({i}, '{name}', {edge}::DOUBLE)" for i, (name, found) in enumerate(EDGES.items(), start=1) for edge in [*found, "'Infinity'"])
     goes = "CASE WHEN f[b.feature] IS NULL THEN b.missing_left ELSE f[b.feature] < b.edge END"
-    split = "SELECT '{0}' AS node, name AS feature, CASE WHEN edge < 'Infinity' THEN edge END AS below, missing_left, round(gain, 6) AS gain, round(g, 6) + 0.0 AS gradient, round(h, 6) AS hessian, NULL::DOUBLE AS value FROM {1}_best"
-    leaf = "SELECT '{0}' AS node, NULL, NULL, NULL, NULL, round({2}, 6), round({3}, 6), round(-{2} / ({3} + 1) * 0.3, 6) FROM {1}_best"
+    split = "SELECT '{0}' AS node, name AS feature, CASE WHEN edge < 'Infinity' THEN edge END AS below, missing_left, round(gain, 6) AS gain, round(g, 8) + 0.0 AS gradient, round(h, 8) AS hessian, NULL::DOUBLE AS value FROM {1}_best"
+    leaf = "SELECT '{0}' AS node, NULL, NULL, NULL, NULL, round({2}, 8), round({3}, 8), round(-{2} / ({3} + 1) * 0.3, 6) FROM {1}_best"
     parts = [split.format("root", "n"), split.format("root-l", "l"), split.format("root-r", "r")]
     parts += [leaf.format(f"root-{a}-{b}", a, f"g{b}", f"h{b}") for a in "lr" for b in "lr"]
     # A side that nothing splits is a leaf.
@@ -430,3 +430,4 @@ cuts AS (SELECT * FROM (VALUES {edges}) AS e(feature, name, edge), (VALUES (true
 
 
 ORACLES["boosted2_splits"] = _splits()
+ORACLES["prepare_by_periods"] = ORACLES["prepare"]

@@ -431,3 +431,11 @@ cuts AS (SELECT * FROM (VALUES {edges}) AS e(feature, name, edge), (VALUES (true
 
 ORACLES["boosted2_splits"] = _splits()
 ORACLES["prepare_by_periods"] = ORACLES["prepare"]
+ORACLES["encode_target"] = f"""{WITH_LABEL}, kinds AS (
+  SELECT l.txn_id, l.is_fraud, l.account_id || '/' || extract(hour FROM l.ts) AS account_hour,
+         {_hash("'fold:' || CAST(l.txn_id AS VARCHAR)")} % 4 AS fold FROM labelled l),
+own AS (SELECT account_hour, fold, count(*) AS n, sum(is_fraud) AS y FROM kinds GROUP BY ALL),
+every AS (SELECT account_hour, sum(n) AS n, sum(y) AS y FROM own GROUP BY ALL),
+priors AS (SELECT fold, (SELECT sum(y) FROM own) - sum(y) AS y, (SELECT sum(n) FROM own) - sum(n) AS n FROM own GROUP BY fold)
+SELECT txn_id, is_fraud, account_hour, round((e.y - o.y + 8.0::DOUBLE * (p.y / p.n)) / (e.n - o.n + 8.0::DOUBLE), 9) AS encoded
+FROM kinds JOIN own o USING (account_hour, fold) JOIN every e USING (account_hour) JOIN priors p USING (fold)"""

@@ -37,7 +37,7 @@ def clean_transactions(df: DataFrame, defaults: dict | None = None) -> DataFrame
     return latest.fillna(present) if present else latest
 
 
-def _text(column: Column, kind: T.DataType) -> Column:
+def as_text(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return column.cast("string")
@@ -65,8 +65,8 @@ def quality_report(df: DataFrame, exact: bool = True) -> DataFrame:
             name,
             F.col("rows"),
             (F.col("rows") - F.col(f"filled_{i}")).alias("nulls"),
-            _text(F.col(f"min_{i}"), field.dataType).alias("min"),
-            _text(F.col(f"max_{i}"), field.dataType).alias("max"),
+            as_text(F.col(f"min_{i}"), field.dataType).alias("min"),
+            as_text(F.col(f"max_{i}"), field.dataType).alias("max"),
         ]
         if exact:
             counts.append(F.count_distinct(column).alias(f"distinct_{i}"))

@@ -18,6 +18,7 @@ from tallyguard.functions import quoted
 from tallyguard.operators import boosting, evaluation, history, quality, rename, scoring, tracking, training
 from tallyguard.operators.encoding import Folds, encode_target
 from tallyguard.operators.hot import Skew, hot_accounts
+from tallyguard.operators.sketches import report_of_days, write_sketches
 from tallyguard.operators.split import class_weights, split, with_part
 from tallyguard.plans.incremental import prepare_period
 from tallyguard.plans.job import find_best, prepare, run_pipeline, score_stream_best, train
@@ -275,6 +276,27 @@ def approximate_report(spark: SparkSession, folder: str) -> DataFrame:
     return sketched.join(exact, "column").withColumn("near", near).drop("approx_distinct", "_exact")
 
 
+def report_by_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of all days but the first and the last, out of sketches that were kept by day.
+
+    Beside the exact columns: whether the distinct counts are within 5 % and the median's rank
+    within 3 % of the rows' own.
+    """
+    txns = load_transactions(spark, folder)
+    stored = write_sketches(txns, shared_folder(spark, "sketches"))
+    low, high = txns.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    first, last = low + timedelta(days=1), high - timedelta(days=1)
+    found = materialize(report_of_days(stored, txns.schema, first, last), "report")
+    rows = txns.where(F.to_date("ts").between(F.lit(first), F.lit(last)))
+    exact = quality.quality_report(rows).select("column", F.col("distinct").alias("_exact"))
+    median = found.where("column = 'amount'").first()["q_50"]
+    rank = rows.agg(F.avg((F.col("amount") <= median).cast("int")).alias("rank")).first().rank
+    near = F.abs(F.col("approx_distinct") - F.col("_exact")) <= F.greatest(F.lit(1), 0.05 * F.col("_exact"))
+    return found.join(exact, "column").select(
+        "column", "rows", "nulls", "min", "max", near.alias("near"), F.lit(abs(rank - 0.5) <= 0.03).alias("median_near")
+    )
+
+
 # tracking
 
 
@@ -537,6 +559,7 @@ QUERIES: dict[str, Query] = {
     "plant_fraud": _features(history.plant_fraud, ["is_fraud"]),
     "quality_report": lambda s, d: quality.quality_report(load_transactions(s, d)),
     "quality_report_approx": approximate_report,
+    "quality_report_days": report_by_days,
     "clean_transactions": lambda s, d: quality.clean_transactions(load_transactions(s, d)),
     "clean_repeated_keys": deduplicated_lines,
     "parse_props": parsed_props,

@@ -439,3 +439,8 @@ every AS (SELECT account_hour, sum(n) AS n, sum(y) AS y FROM own GROUP BY ALL),
 priors AS (SELECT fold, (SELECT sum(y) FROM own) - sum(y) AS y, (SELECT sum(n) FROM own) - sum(n) AS n FROM own GROUP BY fold)
 SELECT txn_id, is_fraud, account_hour, round((e.y - o.y + 8.0::DOUBLE * (p.y / p.n)) / (e.n - o.n + 8.0::DOUBLE), 9) AS encoded
 FROM kinds JOIN own o USING (account_hour, fold) JOIN every e USING (account_hour) JOIN priors p USING (fold)"""
+
+_MIDDLE_DAYS = TXNS.rstrip()[:-1] + """
+  WHERE date_trunc('day', ts) > (SELECT date_trunc('day', min(ts)) FROM events)
+    AND date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events))"""
+ORACLES["quality_report_days"] = f"""SELECT * EXCLUDE ("distinct"), true AS near, true AS median_near FROM (WITH {_MIDDLE_DAYS} {_REPORT})"""

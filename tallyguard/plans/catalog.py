@@ -34,6 +34,7 @@ from tallyguard.streaming import (
     score_stream,
     velocity_stream,
 )
+from tallyguard.streaming.alerts import alerts_to_table, read_alerts
 
 # A fixed scoring rule, so that every value can be checked in SQL.
 RULE = {"amount": 0.02, "prev_amount": 0.004, "channel=purchase": 0.5}
@@ -437,6 +438,18 @@ def streamed_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
     return _round_floats(_drain(account_stream(source, "2 days"), spark, "account").select("txn_id", *ACCOUNT, "late"))
 
 
+def streamed_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The alerts of scored transactions that come as a stream of files, days mixed."""
+    scored = scored_transactions(spark, folder).repartition(6, F.xxhash64("txn_id"))
+    path = shared_folder(spark, "scored")
+    scored.write.parquet(path)
+    stream = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", "2").parquet(path)
+    table = shared_folder(spark, "alerts")
+    alerts_to_table(stream, table, shared_folder(spark, "alerts-log"), k=10, threshold=0.2).awaitTermination()
+    day = F.col("day").cast("string").alias("day")
+    return _round_floats(read_alerts(spark, table, scored.schema).select(day, "rank", "txn_id", "account_id", "p_fraud"))
+
+
 def streamed_best(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions scored on a stream by the best run's model, against the same model's batch scores."""
     out = shared_folder(spark, "stream-job")
@@ -612,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "account_stream_out_of_order": streamed_out_of_order,
     "score_stream_best": streamed_best,
     "alerts": _on_scored(lambda df: _named_alerts(df)),
+    "alerts_stream": streamed_alerts,
     "alerts_gaps": _on_scored(lambda df: _named_alerts(_with_gaps(df))),
     "prepare": prepared_table,
     "prepare_by_periods": prepared_by_periods,

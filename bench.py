@@ -35,6 +35,8 @@ HEADLINE = [
     "feature_vectors",
     "train_logistic_korean",
     "train_boosted",
+    "train_boosted2",
+    "encode_target",
     "threshold_sweep",
     "auc",
     "runs_table",
@@ -42,11 +44,15 @@ HEADLINE = [
     "score_logistic",
     "batch_score",
     "prepare",
+    "prepare_by_periods",
     "prepare_train_score",
     "score_stream",
     "prev_stream",
     "velocity_stream",
+    "account_stream",
     "alerts",
+    "alerts_stream",
+    "quality_report_days",
 ]
 
 

@@ -17,8 +17,9 @@ Queries and vectors meet in blocks of at most ``Index.queries`` and ``Index.rows
 average, dealt by hashed id, so no vector, however often repeated, makes a block large.
 Each block pair hands on its best ``k`` per query.
 
-Defined results: vectors that are null, zero, of another length than the first of the
-sample, or with null or non-finite components take no part, nor do rows without ``vec_id``;
+Defined results: vectors that are null, zero, or with null or non-finite components take no
+part, nor do rows without ``vec_id``; vectors of different lengths have no inner product, so
+each length is a search of its own (more than ``Index.lengths`` lengths are an error);
 ties go to the smaller ``vec_id``; with repeated ids each row counts, but none with the
 query's own id; fewer than ``k`` candidates are all returned; an empty table gives an empty
 result. Other columns of the input are ignored.
@@ -47,6 +48,7 @@ class Index:
     queries: int = 2048
     rows: int = 8192
     seed: int = 3
+    lengths: int = 64
 
 
 FEW = 16  # table entries that are probed one by one
@@ -153,18 +155,10 @@ def _searched(rows: DataFrame, queries: DataFrame, codes: Codes, radius: int, in
     return left.cogroup(right).applyInPandas(run, "query_id long, vec_id long, score double")
 
 
-def neighbours(vectors: DataFrame, every: int = 20, index: Index = Index()) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for the rows whose id is divisible by ``every``."""
-    spark = vectors.sparkSession
-    ship_code(spark)
-    rows = usable(vectors)
+def _of_one_length(rows: DataFrame, every: int, index: Index) -> DataFrame:
+    """The best neighbours ``query_id, vec_id, score`` among vectors of equal length."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(index.sample).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], schema)
-    dims = len(sample[0]["v"])
-    rows = rows.where(F.size("v") == dims)
-    codes = Codes(np.array([r["v"] for r in sample if len(r["v"]) == dims]), index)
+    codes = Codes(np.array([r["v"] for r in sample]), index)
     queries = rows.where(F.col("vec_id") % every == 0)
     counts = rows.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     found = materialize(_searched(rows, queries, codes, codes.radius, index, counts["n"], counts["q"]), "found")
@@ -172,9 +166,23 @@ def neighbours(vectors: DataFrame, every: int = 20, index: Index = Index()) -> D
     few = materialize(queries.join(full, "vec_id", "left_anti"), "few")
     left = few.count()
     if left:
-        bits = 8 * codes.encode(np.ones((1, dims))).shape[1]
+        bits = 8 * codes.encode(np.array([sample[0]["v"]])).shape[1]
         again = _searched(rows, few, codes, bits, index, counts["n"], left)
         found = found.join(few.select(F.col("vec_id").alias("query_id")).distinct(), "query_id", "left_anti").unionByName(again)
+    return found
+
+
+def neighbours(vectors: DataFrame, every: int = 20, index: Index = Index()) -> DataFrame:
+    """``query_id, rank, vec_id, score`` for the rows whose id is divisible by ``every``."""
+    spark = vectors.sparkSession
+    ship_code(spark)
+    rows = usable(vectors)
+    lengths = sorted(r[0] for r in rows.select(F.size("v")).distinct().limit(index.lengths + 1).collect())
+    if len(lengths) > index.lengths:
+        raise ValueError(f"vectors of more than {index.lengths} lengths")
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    for length in lengths:
+        found = found.unionByName(_of_one_length(rows.where(F.size("v") == length), every, index))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= index.k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

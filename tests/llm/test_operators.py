@@ -623,3 +623,76 @@ def test_contexts_of_a_busy_anchor_give_ranges_not_windows(spark):
         found = suffixes.spans(docs, suffixes.Passage(size=100, anchor=16, hot=hot, keep_first=True)).toPandas()
         counts[hot] = len(found), sum(len(a) for a in found.a)
     assert counts[16][0] <= 1.2 * counts[4096][0] and counts[16][1] <= 1.5 * counts[4096][1]
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=2 if i % 3 else 1).tolist()) for i in range(90)]
+    found = neighbours.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=20).toPandas()
+    vectors = dict(rows)
+    for query in range(0, 90, 20):
+        alike = [i for i in vectors if i != query and len(vectors[i]) == len(vectors[query])]
+        best = sorted(alike, key=lambda i: (-np.dot(vectors[i], vectors[query]), i))[:20]
+        mine = found[found.query_id == query].sort_values("rank")
+        assert mine.vec_id.tolist() == best
+
+
+# The models against their definitions, step by step
+
+
+def slow_probabilities(model, text):
+    """Label probabilities of every byte of a window, one state after the other."""
+    w = {n: v.astype(float) for n, v in model.weights.items()}
+    h, out = model.net.hidden, []
+
+    def states(d, order):
+        s, found = np.zeros(h), {}
+        for t in order:
+            given, a = w[f"w{d}"][:, text[t]], w[f"u{d}"] @ s
+            z, r = (np.clip((given[i * h : (i + 1) * h] + a[i * h : (i + 1) * h]) / 4 + 0.5, 0, 1) for i in range(2))
+            n = np.clip(given[2 * h :] + r * a[2 * h :], -1, 1)
+            s = n + z * (s - n)
+            found[t] = s
+        return found
+
+    ahead, behind = states("f", range(len(text))), states("b", range(len(text) - 1, -1, -1))
+    for t in range(len(text)):
+        p = np.exp(w["vf"] @ ahead[t] + w["vb"] @ behind[t] + w["c"][:, 0])
+        out.append(p / p.sum())
+    return np.array(out)
+
+
+def test_pooled_probabilities_equal_a_slow_network():
+    model = language.BiGru(["a", "b", "c"], language.Net(hidden=5, window=16))
+    texts = ["", "a", "Ein Satz mit über sechzehn Bytes, in drei Fenstern", "x" * 16, "ñandú\n"]
+    data, bounds = scan.text_buffer(pa.array(texts))
+    found = language.document_sums(model, data, bounds, size=3)
+    for text, sums in zip(texts, found):
+        raw = text.encode()
+        pieces = [slow_probabilities(model, raw[i : i + 16]).sum(axis=0) for i in range(0, len(raw), 16)]
+        np.testing.assert_allclose(sums, np.sum(pieces, axis=0) if pieces else np.zeros(3), atol=1e-4)
+
+
+def test_posteriors_equal_the_moments_of_sites(spark, documents, labels):
+    docs = documents.withColumn("source", F.concat("source", F.lit("/"), F.col("doc_id") % 3))
+    known = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = quality.classified(docs, known).toPandas()
+    paths = rows.groupby(["host", "path"]).p_doc.agg(["sum", "count"]).reset_index()
+    hosts = paths.groupby("host")[["sum", "count"]].sum()
+    rate = hosts["sum"].sum() / hosts["count"].sum()
+
+    def strength(p, n, centre):
+        between, noise = (n * (p / n - centre) ** 2).sum(), (centre * (1 - centre) * np.ones(len(n))).sum()
+        spread = (n * centre * (1 - centre)).sum()
+        return np.clip(spread / n.sum() / max((between - noise) / n.sum(), 1e-9) - 1, 1, 1e6)
+
+    k_host = strength(hosts["sum"], hosts["count"], rate)
+    host_rate = (k_host * rate + hosts["sum"]) / (k_host + hosts["count"])
+    paths["host_rate"] = paths.host.map(host_rate)
+    k_path = strength(paths["sum"], paths["count"], paths.host_rate)
+    joined = rows.merge(paths, on=["host", "path"])
+    site = ((k_path * joined.host_rate + joined["sum"] - joined.p_doc) / (k_path + joined["count"] - 1)).clip(1e-6, 1 - 1e-6)
+    logit = lambda p: np.log(p / (1 - p))
+    odds = logit(joined.p_doc) - logit(rate) + logit(site)
+    np.testing.assert_allclose(joined.site_rate, site, rtol=1e-6)
+    np.testing.assert_allclose(joined.p_bad, 1 / (1 + np.exp(-odds)), rtol=1e-5, atol=1e-9)

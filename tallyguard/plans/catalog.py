@@ -35,6 +35,7 @@ from tallyguard.streaming import (
     velocity_stream,
 )
 from tallyguard.streaming.alerts import alerts_to_table, read_alerts
+from tallyguard.streaming.hot import features_to_table, read_features
 
 # A fixed scoring rule, so that every value can be checked in SQL.
 RULE = {"amount": 0.02, "prev_amount": 0.004, "channel=purchase": 0.5}
@@ -422,6 +423,14 @@ def streamed_account(spark: SparkSession, folder: str) -> DataFrame:
     return _round_floats(_drain(stream, spark, "account").select("txn_id", *ACCOUNT, "late"))
 
 
+def streamed_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """The features of a stream whose accounts are too big for a worker, most of them here."""
+    out = shared_folder(spark, "hot-stream")
+    source = read_stream(spark, folder, "events.parquet", batch_bytes=KEYED_BATCH)
+    features_to_table(source, out, shared_folder(spark, "hot-log"), skew=FORCED).awaitTermination()
+    return _round_floats(read_features(spark, out).select("txn_id", *ACCOUNT, "late"))
+
+
 def streamed_out_of_order(spark: SparkSession, folder: str) -> DataFrame:
     """The same from files whose rows are out of order by up to two days."""
     events = spark.read.parquet(f"{folder}/events.parquet")
@@ -623,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "velocity_stream": streamed_velocity,
     "account_stream": streamed_account,
     "account_stream_out_of_order": streamed_out_of_order,
+    "account_stream_hot": streamed_hot,
     "score_stream_best": streamed_best,
     "alerts": _on_scored(lambda df: _named_alerts(df)),
     "alerts_stream": streamed_alerts,

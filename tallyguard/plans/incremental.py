@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyguard.operators.history import LARGEST, NO_SPREAD, SPANS, account_features, plant_fraud
 from tallyguard.operators.hot import Skew
@@ -35,6 +35,15 @@ def state_folder(out: str, end: datetime) -> str:
     return f"{out}/state/{end.astimezone(timezone.utc):%Y%m%dT%H%M%SZ}"
 
 
+def empty_moments(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], _OLDER)
+
+
+def read_state(spark: SparkSession, path: str, columns: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The ``recent`` rows, which have the given columns, and the moments of the ``older`` ones."""
+    return spark.read.schema(columns).parquet(f"{path}/recent"), spark.read.schema(_OLDER).parquet(f"{path}/older")
+
+
 def _merged(n: Column, mean: Column, m2: Column, more_n: Column, more_mean: Column, more_m2: Column) -> tuple[Column, Column, Column]:
     """Moments of two sets of rows together; means of empty sets are null."""
     total = n + more_n
@@ -47,7 +56,7 @@ def _zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def _with_history(featured: DataFrame, older: DataFrame) -> DataFrame:
+def with_history(featured: DataFrame, older: DataFrame) -> DataFrame:
     """History columns of rows that have seen recent rows only, with the older ones merged in."""
     named = older.select(F.col("account_id").alias("_account"), F.col("n").alias("_n"), F.col("mean").alias("_mean"), F.col("m2").alias("_m2"))
     joined = featured.join(named, F.col("account_id").eqNullSafe(F.col("_account")), "left")
@@ -59,7 +68,7 @@ def _with_history(featured: DataFrame, older: DataFrame) -> DataFrame:
     return merged.withColumns({"hist_n": F.col("_all"), "hist_mean": F.col("_avg"), "hist_sd": F.col("_sd"), "z_amount": scored}).select(featured.columns)
 
 
-def _write_state(rows: DataFrame, older: DataFrame, end: datetime, spans: dict[str, int], path: str) -> None:
+def write_state(rows: DataFrame, older: DataFrame, end: datetime, spans: dict[str, int], path: str) -> None:
     """The state at ``end``; ``rows`` are the recent rows before it and the period's own."""
     edge = F.lit(end - timedelta(seconds=max(spans.values())))
     last = Window.partitionBy("account_id").orderBy(F.desc("ts"), F.desc("txn_id"))
@@ -101,16 +110,14 @@ def prepare_period(
         rows = rows.where(F.col("ts") >= F.lit(start))
     new = clean_transactions(rows)
     if start is None:
-        recent, older = new.where("false"), spark.createDataFrame([], _OLDER)
+        recent, older = new.where("false"), empty_moments(spark)
     else:
-        path = state_folder(out, start)
-        recent = spark.read.schema(new.schema).parquet(f"{path}/recent")
-        older = spark.read.schema(_OLDER).parquet(f"{path}/older")
+        recent, older = read_state(spark, state_folder(out, start), new.schema)
     # The new rows are read twice: for their features and for the state.
     both = materialize(recent.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True))), "period")
     featured = account_features(both, spans, skew).where("_new").drop("_new")
-    labelled = plant_fraud(_with_history(featured, older))
+    labelled = plant_fraud(with_history(featured, older))
     written = write_table(labelled, f"{out}/prepared", mode="overwrite")
-    _write_state(both.drop("_new"), older, end, spans, state_folder(out, end))
+    write_state(both.drop("_new"), older, end, spans, state_folder(out, end))
     period = written.where(F.col("ts") < F.lit(end))
     return period if start is None else period.where(F.col("ts") >= F.lit(start))

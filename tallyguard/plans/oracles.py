@@ -445,3 +445,4 @@ _MIDDLE_DAYS = TXNS.rstrip()[:-1] + """
     AND date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events))"""
 ORACLES["quality_report_days"] = f"""SELECT * EXCLUDE ("distinct"), true AS near, true AS median_near FROM (WITH {_MIDDLE_DAYS} {_REPORT})"""
 ORACLES["alerts_stream"] = ORACLES["alerts"]
+ORACLES["account_stream_hot"] = ORACLES["account_stream"]

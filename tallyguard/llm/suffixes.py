@@ -426,12 +426,13 @@ def spans(docs: DataFrame, passage: Passage = Passage()) -> DataFrame:
     # Written first, so that both sides of the next join come from plain exchanges, and a
     # class that very many documents share can be split among tasks.
     ranges = materialize(ranges, "ranges")
-    near = table.join(ranges, ["key", "ctx"])
-    whole = F.col("n") > 1
+    near = table.join(ranges.where("n > 1"), ["key", "ctx"])
+    hits = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))
     if passage.keep_first:
-        whole = whole & (place != F.col("first"))
-    hits = F.when(whole, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").alias("b")))).otherwise(F.col("hits"))
-    near = near.withColumn("hits", hits).where("hits IS NOT NULL")
+        hits = F.when(place != F.col("first"), hits).otherwise(F.col("hits"))
+    # A class of one context is where it was first found.
+    alone = ranges.where("n = 1").select("first.doc_id", "first.text_hash", "first.low", "hits")
+    near = near.select("doc_id", "text_hash", "low", hits.alias("hits")).unionByName(alone).where("hits IS NOT NULL")
     low, tail = F.col("low"), passage.size - 1
     long_ = near.select(
         "doc_id", "text_hash", F.transform("hits", lambda h: low + h["a"]).alias("a"), F.transform("hits", lambda h: low + h["b"] + tail).alias("b")

@@ -9,6 +9,7 @@ import zipfile
 import tallyguard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tallyguard.functions import quoted
 from tallyguard.session import materialize
 
 __all__ = ["materialize", "read", "tidy", "renamed_apart", "batched", "numbered", "ship_code", "spread", "without"]
@@ -74,7 +75,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """
     ids = materialize(ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "ids")
     small = ids.count() <= FEW_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(*map(quoted, docs.columns))
 
 
 def numbered(df: DataFrame, *order: str, name: str = "no") -> DataFrame:

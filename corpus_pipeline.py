@@ -35,7 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not repeated.limit(1).count():
         return kept
     one = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+    names = [quoted(c) for c in docs.columns]
+    return kept.join(repeated, "doc_id", "left_anti").select(*names).unionByName(one.select(*names))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     cut = suffixes.without_repeats(docs, PASSAGE)
     if "n_chars" not in docs.columns:
         return cut
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*map(quoted, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

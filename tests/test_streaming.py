@@ -195,3 +195,23 @@ def test_best_run_scores_a_stream(spark, small, tmp_path):
         batch = find_best(spark, store).score(spark, prepared)
         reached = small.agg(F.max("ts")).first()[0] - timedelta(hours=1)
         assert_close(rows(found.select("txn_id", "p_fraud")), rows(batch.where(F.col("ts") <= F.lit(reached)).select("txn_id", "p_fraud")))
+
+
+def test_accounts_share_the_state_of_a_group(spark, tmp_path):
+    """Many accounts in few groups: amounts beyond 64 bits, null or too large, and a late row."""
+    odd = {3: 1e20, 5: None, 7: 9e26, 13: 1e28}
+    made = [event(i, i * 37 + i % 5, account=i % 90, value=odd.get(i % 23, 3.0 + i * 7 % 31)) for i in range(900)]
+    folder = tmp_path / "in"
+    order = sorted(range(900), key=lambda i: i + i * 53 % 60)  # out of order by less than two days
+    for n in range(3):
+        land(spark.createDataFrame([made[i] for i in order[n * 300 : n * 300 + 300]], EVENTS), folder, f"f{n}")
+    late = [event(1000, 5, account=4), event(1001, 50000, account=4)]
+    land(spark.createDataFrame(late, EVENTS), folder, "f3")
+    batches, found = run(account_stream(one_file(spark, folder), "2 days", groups=3), tmp_path)
+    # Not one timer and one state for each of the 90 accounts.
+    assert max(b.stateOperators[0].numRowsTotal for b in batches) < 60
+    assert [r["txn_id"] for r in rows(found.where("late"))] == [1000]
+    everything = canonical(spark.createDataFrame([*made, late[1]], EVENTS))
+    batch = account_features(everything).where("txn_id < 1000")
+    names = ["txn_id", "account_id", "prev_amount", "gap_seconds", *[f"{w}_{s}" for w in ("n", "sum", "avg") for s in SPANS], "hist_n", "hist_mean", "hist_sd"]
+    assert_close(rows(found.where("NOT late").select(names)), rows(batch.select(names)))

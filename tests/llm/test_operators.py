@@ -503,6 +503,23 @@ def test_rules_without_labels_or_rows(odd, empty, labels):
     assert rules.quality_rules(empty, labels).count() == 0
 
 
+def test_forest_and_threshold_see_all_rows(spark):
+    """Counts of the trees add up to all documents, and of the cut to all labels, beyond any sample."""
+    made = [(i, *((60, 300, 0, 0, 0, 6, 0, 0) if i % 10 else (60, 300, 30 + i % 7, 0, 0, 6, 0, 9))) for i in range(60_000)]
+    stats = spark.createDataFrame(made, "doc_id long, " + ", ".join(f"{s} long" for s in rules.STATS))
+    settings = rules.Forest(trees=20)
+    forest = rules.grow(stats, settings)
+    assert forest.size == 3_000  # of 60,000 documents dealt among 20 trees
+    last = rules._nodes(stats.selectExpr(*rules.STATS, "pmod(doc_id, 20) AS deal"), forest, 1)
+    assert sum(n for n, *_ in last.values()) == 60_000
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "if(id % 10 = 0, 0, 1) AS quality")
+    _, cut = rules.fit(stats, labels, settings)
+    scores = rules._scored(stats, forest).where(f"oddness > {cut}")
+    assert scores.count() == 6_000 and scores.where("doc_id % 10 <> 0").count() == 0
+    score, good, bad = np.array([0.1, 0.2, 0.3, 0.4]), np.array([996.0, 3, 1, 0]), np.array([1.0, 0, 5, 7])
+    assert rules.threshold(score, good, bad, rules.Forest(keep_good=0.9985)) == pytest.approx(0.25)
+
+
 # 10 Mixing
 
 

@@ -18,11 +18,15 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyguard.session import materialize, shared_folder
 
 
+# Rows that a task sorts when chunks are cut.
+TASK_ROWS = 250_000
+
+
 @dataclass(frozen=True)
 class Skew:
     """When an account counts as hot, and how many rows a chunk of it should hold."""
@@ -78,17 +82,24 @@ def split_hot(
 
 
 def cut_into_chunks(df: DataFrame, order: list[str], rows: int, skew: Skew) -> DataFrame:
-    """Add ``_chunk``: the number of the range of (account, ``order``) that a row lies in.
+    """Add ``_chunk``, which numbers ranges of (account, ``order``) in their order.
 
-    Range bounds come from sampling, so a second run of the same plan may choose others.
-    The rows are therefore written once, with their chunk, to the shared folder.
+    A task sorts one range of rows, which has nothing to do with how small chunks are, and counts
+    them off by ``chunk_rows``: a task and a file for each chunk would cost more than its work.
+    Rows alike in account and ``order`` stay together. Bounds of the tasks' ranges come from
+    sampling, so a second run of the same plan may choose others. The rows are therefore
+    written once, with their chunk, to the shared folder.
     """
-    chunks = max(1, math.ceil(rows / skew.chunk_rows))
     spark = df.sparkSession
+    chunks = max(1, math.ceil(rows / skew.chunk_rows))
+    tasks = min(chunks, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / TASK_ROWS)))
     path = shared_folder(spark, "chunks")
-    ranged = df.repartitionByRange(chunks, "account_id", *order).withColumn(
-        "_chunk", F.spark_partition_id()
-    )
+    place = ["account_id", *order]
+    # The task's number in the upper bits, the row's place in its range in the lower ones.
+    sorted_ = df.repartitionByRange(tasks, *place).sortWithinPartitions(*place).withColumn("_at", F.monotonically_increasing_id())
+    first = F.min("_at").over(Window.partitionBy(*place))
+    cut = sorted_.withColumn("_at", first)
+    ranged = cut.withColumn("_chunk", F.col("_at") - F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) % skew.chunk_rows).drop("_at")
     ranged.write.parquet(path)
     return spark.read.schema(ranged.schema).parquet(path)
 

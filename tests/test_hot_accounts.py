@@ -96,6 +96,21 @@ def test_chunks_are_small_and_in_order(spark):
     assert pairs <= busy.select("account_id").distinct().count() + len(sizes)
 
 
+def test_many_small_chunks_take_few_tasks(spark):
+    """Not a task and a file for each chunk; rows alike in account, time and id stay together."""
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    data = [(i // 3, i % 2 if i % 9 else None, at + timedelta(minutes=i // 30), 1.0, "card", i) for i in range(1200)]
+    busy = spark.createDataFrame(data, TRANSACTIONS).withColumn("_us", F.unix_micros("ts"))
+    chunked = cut_into_chunks(busy, ["_us", "txn_id"], 1200, Skew(chunk_rows=4))
+    assert len(chunked.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = chunked.select("account_id", "_us", "txn_id", "device_k", "_chunk").collect()
+    assert sorted(r.device_k for r in found) == list(range(1200))
+    place = lambda r: (r.account_id is not None, r.account_id or 0, r._us, r.txn_id)
+    chunks = [r._chunk for r in sorted(found, key=place)]
+    assert chunks == sorted(chunks) and 250 < len(set(chunks)) <= 304
+    assert len({(place(r), r._chunk) for r in found}) == len({place(r) for r in found})
+
+
 def test_only_hot_accounts_are_cut(spark):
     busy = make(spark, 6)
     found = hot_accounts(busy, Skew(hot_rows=100))

@@ -36,6 +36,7 @@ from tallyguard.llm.work import batched, materialize, tidy
 
 _HEADER = struct.Struct("<8sIIIIII")  # magic, documents, ids, first nonterminal, rules, symbols, symbol bytes
 _MAGIC = b"REPAIR01"
+TOKEN_ROWS = 2000  # rows of a batch: the more, the fewer pieces of text are looked up twice
 
 
 @dataclass(frozen=True)
@@ -47,6 +48,11 @@ class Layout:
     stride: int = 256
 
 
+def _few_bits(key: np.ndarray) -> np.ndarray:
+    """A number below 2^18 for each pair."""
+    return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)
+
+
 def compress(ids: np.ndarray, first: int, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
     """Rules (left, right) of the nonterminals from ``first`` on, and the remaining symbols."""
     symbols, rules, next_ = ids.astype(np.int64), [], first
@@ -62,13 +68,23 @@ def compress(ids: np.ndarray, first: int, layout: Layout) -> tuple[np.ndarray, n
             break
         common = common[np.argsort(-count[common], kind="stable")[: layout.pairs]]
         chosen = np.sort(order[edge[common]])
-        at = np.minimum(np.searchsorted(chosen, key), len(chosen) - 1)
-        place = np.flatnonzero(chosen[at] == key)
+        # Most pairs are none of the chosen, and a few bits tell most of those apart.
+        table = np.full(1 << 18, -1, dtype=np.int32)
+        table[_few_bits(chosen)] = np.arange(len(chosen))
+        at = table[_few_bits(key)]
+        place = np.flatnonzero(at >= 0)
+        at = at[place]
+        other = np.flatnonzero(chosen[at] != key[place])
+        at[other] = np.minimum(np.searchsorted(chosen, key[place[other]]), len(chosen) - 1)
+        right = chosen[at] == key[place]
+        place, at = place[right], at[right]
         # Of places that overlap in a row, every second one from the left is taken.
         run = np.concatenate(([True], np.diff(place) != 1))
         begin = np.maximum.accumulate(np.where(run, np.arange(len(place)), 0))
-        place = place[(np.arange(len(place)) - begin) % 2 == 0]
-        used, which = np.unique(at[place], return_inverse=True)
+        taken = (np.arange(len(place)) - begin) % 2 == 0
+        place, at = place[taken], at[taken]
+        used = np.bincount(at, minlength=len(chosen)) > 0
+        which = (np.cumsum(used) - 1)[at]
         pairs = chosen[used]
         rules.append(np.stack((pairs >> 32, pairs & 0xFFFFFFFF), axis=1))
         keep = np.ones(len(symbols), dtype=bool)
@@ -110,6 +126,25 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
         symbols = out
 
 
+def expand_all(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """The same for many symbols: every rule is expanded once, and its ids are copied."""
+    flat = expand(rules.reshape(-1), rules, first)
+    symbols, lengths = symbols.astype(np.int64), lengths.astype(np.int64)
+    inner = np.flatnonzero(symbols >= first)
+    rule = symbols[inner] - first
+    size = np.ones(len(symbols), dtype=np.int64)
+    size[inner] = lengths[rule]
+    stop = np.cumsum(size)
+    out = np.empty(int(stop[-1]) if len(stop) else 0, dtype=np.uint32)
+    out[stop - size] = symbols  # of rules, all is overwritten
+    size, stop = size[inner], stop[inner]
+    inside = np.cumsum(size)
+    step = np.arange(int(inside[-1]) if len(inside) else 0)
+    begin = (np.cumsum(lengths) - lengths)[rule]
+    out[np.repeat(stop - inside, size) + step] = flat[np.repeat(begin - inside + size, size) + step]
+    return out
+
+
 def pack_block(doc_ids: np.ndarray, nulls: np.ndarray, starts: np.ndarray, ids: np.ndarray, first: int, layout: Layout) -> bytes:
     rules, symbols = compress(ids, first, layout)
     lengths = expansion_lengths(rules, first)
@@ -145,7 +180,7 @@ class Block:
         self.stride, self.marks = int(take("<u4", 1)[0]), take("<u4", (len(payload) - at) // 4)
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        return expand_all(self.symbols, self.rules, self.lengths, self.first)
 
     def document(self, n: int) -> np.ndarray:
         """The ids of the n-th document, from the symbols that cover it only."""
@@ -159,7 +194,7 @@ class Block:
 
 def write_blocks(docs: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
     """Encode, compress and write all documents in ascending ``doc_id``; returns the blocks read back."""
-    batched(docs.sparkSession)
+    batched(docs.sparkSession, TOKEN_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
@@ -185,10 +220,14 @@ def write_blocks(docs: DataFrame, path: str, layout: Layout = Layout()) -> DataF
             column = batch.column("doc_id")
             nulls, doc_ids = column.is_null().to_numpy(zero_copy_only=False), column.fill_null(0).to_numpy()
             for a, b, ids, bounds in tokens.column(batch.column("text")):
-                held.append((doc_ids[a:b], nulls[a:b], np.diff(bounds), ids))
-                n += len(ids)
-                if n >= layout.block:
-                    yield flush()
+                i = 0
+                while i < b - a:  # up to the document that fills the block
+                    j = min(int(np.searchsorted(bounds, bounds[i] + layout.block - n)), b - a)
+                    held.append((doc_ids[a + i : a + j], nulls[a + i : a + j], np.diff(bounds[i : j + 1]), ids[bounds[i] : bounds[j]]))
+                    n += int(bounds[j] - bounds[i])
+                    i = j
+                    if n >= layout.block:
+                        yield flush()
         if held:
             yield flush()
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import string
 import zlib
 
 import numpy as np
@@ -338,6 +339,51 @@ def test_token_blocks_round_trip(spark, documents, odd):
     assert len(block.rules) > 0
 
 
+def token_ids(encoder, texts):
+    return [ids[b[i] : b[i + 1]].tolist() for a, e, ids, b in encoder.column(pa.array(texts)) for i in range(e - a)]
+
+
+class Asked:
+    """A tokenizer that counts the strings it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.strings = tokenizer, 0
+
+    def encode_batch_fast(self, strings, **more):
+        self.strings += len(strings)
+        return self.tokenizer.encode_batch_fast(strings, **more)
+
+
+def test_new_pieces_are_encoded_in_runs():
+    words = [f"{a}{b}{mark}" for a in ("ab", "é", "x1", "'t", "ſs") for b in string.ascii_lowercase for mark in ("", "q!", "ü,")]
+    texts = [" ".join(words), "\n".join(words), ",".join(words), *words]
+    encoder = tokens.Encoder(tokens.default_path())
+    asked = encoder.tokenizer = Asked(encoder.tokenizer)
+    assert token_ids(encoder, texts) == [reference_ids(t) for t in texts]
+    assert 0 < asked.strings < 10
+    # Where the ends of pieces are no ends of tokens, each is asked for alone.
+    encoder = tokens.Encoder(tokens.default_path())
+    encoder.bytes_of[:] = 3
+    assert token_ids(encoder, [*texts, *ODD_TEXTS]) == [reference_ids(t) for t in [*texts, *ODD_TEXTS]]
+
+
+def test_blocks_end_with_the_document_that_fills_them(spark):
+    docs = spark.createDataFrame([(i, "one two three four " * 5) for i in range(300)], "doc_id long, text string").coalesce(1)
+    size = len(reference_ids("one two three four " * 5))
+    blocks = grammar.write_blocks(docs, tokens.default_path(), grammar.Layout(block=10 * size - 3))
+    found = blocks.toPandas()
+    assert found.n_ids.max() <= 10 * size and found.n_ids.sum() == 300 * size
+    assert (found.sort_values(["part", "seq"]).groupby("part").n_docs.apply(lambda n: (n.iloc[:-1] == 10).all())).all()
+
+
+def test_symbols_expand_at_once():
+    for ids in (np.tile(np.arange(7), 500), np.zeros(1001), np.arange(50), np.zeros(0)):
+        rules_, symbols = grammar.compress(ids.astype(np.uint32), 50, grammar.Layout(rounds=6, least=2))
+        lengths = grammar.expansion_lengths(rules_, 50)
+        assert (grammar.expand_all(symbols, rules_, lengths, 50) == ids).all()
+        assert (grammar.expand(symbols, rules_, 50) == ids).all()
+
+
 def test_grammar_makes_repeats_short():
     ids = np.tile(np.arange(100, dtype=np.uint32), 200)
     rules_, symbols = grammar.compress(ids, 50_257, grammar.Layout(rounds=8))

@@ -62,6 +62,11 @@ def _wide_spaces(data: np.ndarray) -> np.ndarray:
     return at[wide]
 
 
+def _strings(pieces: pa.Array) -> list[bytes]:
+    """As ``to_pylist``, without a scalar for each."""
+    return pieces.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Encodes Arrow text columns; one per task."""
 
@@ -116,7 +121,7 @@ class Encoder:
 
     def _learn(self, pieces: pa.Array) -> None:
         data, bounds = scan.text_buffer(pieces)
-        known, head, tail = pieces.to_pylist(), data[bounds[:-1]], data[bounds[1:] - 1]
+        known, head, tail = _strings(pieces), data[bounds[:-1]], data[bounds[1:] - 1]
         second = data[np.minimum(bounds[:-1] + 1, bounds[1:] - 1)]
         plain = ~scan.SPACE[tail] & ~scan.SPACE[np.where(head == 32, second, head)]
         plain[self._whole(data, bounds)] = False
@@ -174,7 +179,7 @@ class Encoder:
         place, found = found.indices.to_numpy(), found.dictionary
         if len(self.known) > KNOWN:
             self._forget()
-        entry = np.fromiter(map(self.known.get, found.to_pylist(), repeat(-1)), dtype=np.int64, count=len(found))
+        entry = np.fromiter(map(self.known.get, _strings(found), repeat(-1)), dtype=np.int64, count=len(found))
         new = np.flatnonzero(entry < 0)
         if len(new):
             entry[new] = self.entries + np.arange(len(new))

@@ -443,6 +443,70 @@ def test_repeats_equal_brute_force(spark, hot):
         assert left[n] == kept.decode() if raw[n].isascii() else left[n].isprintable()
 
 
+def word_runs(text, hit, words):
+    """Those of the covered runs that hold so many whole words."""
+    out = np.zeros(len(text), dtype=bool)
+    for run in re.finditer(rb"\x01+", hit.astype(np.uint8).tobytes()):
+        inside = [w for w in re.finditer(rb"[^\x20\x09-\x0D]+", text) if w.start() >= run.start() and w.end() <= run.end()]
+        out[run.start() : run.end()] = len(inside) >= words
+    return out
+
+
+def short_repeats(rows, words, size):
+    places = collections.defaultdict(list)
+    for n, text in enumerate(rows):
+        found = list(re.finditer(rb"[^\x20\x09-\x0D]+", text))
+        for first, last in zip(found, found[words - 1 :]):
+            if last.end() - first.start() < size:
+                places[text[first.start() : last.end()]].append((n, first.start(), last.end()))
+    return [place for found in places.values() if len(found) > 1 for place in found]
+
+
+@pytest.mark.parametrize("hot", [512, 2])
+def test_two_lengths_equal_brute_force(spark, hot):
+    """Strings of 50 bytes as without ``least``; in the text, passages of six words go too."""
+    rng = np.random.default_rng(hot)
+    draw = lambda n: " ".join(bytes(rng.integers(97, 123, rng.integers(1, 9)).astype(np.uint8)).decode() for _ in range(n))
+    shared = [draw(rng.integers(4, 14)) for _ in range(12)] + ["pq " * 30, "é" * 40]
+    # Many copies of one passage next to the end of a text, and whole copies.
+    rows = ["".join(shared[rng.integers(0, 14)][rng.integers(0, 9) :] if rng.random() < 0.5 else draw(rng.integers(0, 9)) + " " for _ in range(rng.integers(0, 8))) for _ in range(70)]
+    rows += [draw(4) + " " + shared[0] + draw(9)[: rng.integers(0, 40)] for _ in range(20)] + rows[:5] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    raw = [(t or "").encode() for t in rows]
+    near, wanted = covered(raw, 24, False), covered(raw, 50, False)
+    for n, a, b in short_repeats(raw, 6, 24):
+        near[n][a:b] = True
+    passage = suffixes.Passage(size=50, anchor=12, hot=hot, chunk=40, words=6, least=24)
+    found = {r.doc_id: r for r in suffixes.repeated_bytes(docs, passage).collect()}
+    plain = {r.doc_id: r for r in suffixes.repeated_bytes(docs, suffixes.Passage(size=50, anchor=12, hot=hot, chunk=40)).collect()}
+    fewer = 0
+    for n, (text, close, hit) in enumerate(zip(raw, near, wanted)):
+        assert found[n].n_removed == int(hit.sum())
+        assert found[n].kept_sha256 == hashlib.sha256(bytes(np.frombuffer(text, np.uint8)[~hit])).hexdigest()
+        assert found[n][:4] == plain[n][:4] and found[n].n_spans == plain[n].n_spans
+        cut = hit | word_runs(text, close, 6)
+        kept = bytes(np.frombuffer(text, np.uint8)[~cut])
+        assert found[n].text == kept.decode() if text.isascii() else abs(len(found[n].text.encode()) - len(kept)) < 20
+        fewer += bool((cut & ~hit).any())
+    assert fewer > 2
+
+
+def test_op5_text_is_without_passages_of_over_50_words(spark, tmp_path):
+    rng = np.random.default_rng(52)
+    draw = lambda n, least=1, most=9: " ".join("".join(chr(c) for c in rng.integers(97, 123, rng.integers(least, most))) for _ in range(n))
+    middle, tiny, few = draw(60, 4, 6), draw(51, 1, 4), draw(50, 5, 7)
+    assert 250 <= len(middle) < 400 and len(tiny) < 250 <= len(few) < 400
+    texts = [f"{draw(40)} {passage} {draw(40)}" for passage in (middle, tiny, few) for _ in range(2)] + [draw(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.op5_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    # The contract counts strings of 400 bytes.
+    assert all(r.n_removed == r.n_spans == 0 and r.kept_sha256 == hashlib.sha256(texts[i].encode()).hexdigest() for i, r in rows.items())
+    for i, passage in enumerate((middle, middle, tiny, tiny)):
+        # Letters beside it may be equal by chance.
+        assert passage not in rows[i].text and 0 <= len(texts[i]) - len(passage) - len(rows[i].text) <= 6 and rows[i].n_cuts == 1
+    assert [rows[i].text for i in (4, 5, 6)] == texts[4:] and all(rows[i].n_cuts == 0 for i in (4, 5, 6))
+
+
 def test_repeats_on_odd_input(spark, odd, empty):
     rows = suffixes.repeated_bytes(odd).toPandas()
     assert len(rows) == len(odd_rows())

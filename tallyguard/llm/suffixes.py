@@ -11,7 +11,7 @@ place is out of reach, so suffixes meet only where they can match:
 2. Anchors found once are done: none of their windows repeats. Equal contexts are one class
    (grouped by hash, combined before the shuffle), however many documents hold them.
 3. The classes of an anchor that has several are put into a chunk with those of other
-   anchors, in the order of their first places in the corpus. There the suffixes at the
+   anchors, in the order of their first places within the chunk. There the suffixes at the
    windows are sorted by prefix doubling. The nearest suffixes in suffix order with a
    smaller position, before and after, give the longest match that starts earlier
    (longest previous factor); those with a greater position give the longest later one.
